@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +12,26 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension, unique on its keys, and whether it may be broadcast."""
+
+    frame: DataFrame
+    small: bool
+
+    @classmethod
+    def of(
+        cls,
+        frame: DataFrame | Dimension,
+        max_rows: int = BROADCAST_ROWS,
+        max_bytes: int = BROADCAST_BYTES,
+    ) -> Dimension:
+        """Measure once, use in several joins."""
+        if isinstance(frame, Dimension):
+            return frame
+        return cls(frame, fits_broadcast(frame, max_rows, max_bytes))
+
+
 def fits_broadcast(
     dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
@@ -26,11 +47,10 @@ def fits_broadcast(
 
 def join_dimension(
     fact: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     on: Mapping[str, str],
     columns: Mapping[str, str],
     how: str = "left",
-    small: bool | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join that adds dimension attributes to a fact.
@@ -43,17 +63,16 @@ def join_dimension(
     A larger one is joined by shuffle on key and salt: the fact rows of one key
     are spread by the input partition they come from and the dimension is
     repeated once per salt, so neither a popular key nor the NULL key ends up in
-    one task.  ``small`` carries the outcome of an earlier ``fits_broadcast``."""
+    one task."""
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    if small is None:
-        small = fits_broadcast(dim)
-    attributes = dim.select(
+    dim = Dimension.of(dim)
+    attributes = dim.frame.select(
         *[F.col(key).alias(f"_dim_{key}") for key in on.values()],
         *[F.col(source).alias(name) for source, name in columns.items()],
     )
     conditions = [F.col(f) == F.col(f"_dim_{d}") for f, d in on.items()]
-    if small:
+    if dim.small:
         joined = fact.join(F.broadcast(attributes), conditions, how)
     else:
         spread = fact.withColumn("_salt", F.spark_partition_id() % F.lit(salts))

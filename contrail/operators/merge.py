@@ -80,18 +80,20 @@ def differs(columns: Sequence[str]) -> Column:
     return condition
 
 
-def upsert_newest(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], by: Sequence[str]
-) -> DataFrame:
-    """Upsert in which the row with the greatest ``by`` wins on either side.
-
-    Late, repeated and out-of-order batches all give the batch result.  Rows
-    equal in ``by`` are settled by the remaining columns."""
-    both = target.unionByName(source, allowMissingColumns=True)
+def newest(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``by`` per key; rows equal in ``by`` are settled
+    by the remaining columns, so the outcome does not depend on their order."""
     rest = [
         f.name
-        for f in both.schema.fields
-        if f.name not in keys and f.name not in by and f.dataType.typeName() not in ("map", "variant")
+        for f in df.schema.fields
+        if f.name not in keys and f.name not in by and f.dataType.typeName() != "map"
     ]
-    order = [F.col(c).desc_nulls_last() for c in [*by, *rest]]
-    return one_per_key(both, keys, order)
+    return one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in [*by, *rest]])
+
+
+def upsert_newest(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """Upsert in which the newest row wins on either side: late, repeated and
+    out-of-order batches all give the batch result."""
+    return newest(target.unionByName(source, allowMissingColumns=True), keys, by)

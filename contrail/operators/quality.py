@@ -73,18 +73,19 @@ def run_metrics(
     unknown: Column | None = None,
     fresh: str | None = None,
     extras: Column | None = None,
-    status: str = "ok",
     notes: str = "",
 ) -> DataFrame:
     """AGG-14: one typed row for the metrics table, from a single pass.
 
-    ``rows_in`` is the true input count; without it duplicates are not known and
-    input equals output (D14).  ``fresh`` names the column behind the lag,
+    ``rows_in`` is the true input count of a deduplicated table (D14); without it
+    there is no duplicate ratio.  Malformed records are counted in but not out
+    and turn the status to ``warn``.  ``fresh`` names the column behind the lag,
     measured at ``processed_ts``."""
     profiled = [c for c in df.columns if c not in set(exclude)]
     null_double = F.lit(None).cast("double")
-    rows_out = F.count(F.lit(1))
-    before = rows_out if rows_in is None else F.lit(rows_in).cast("bigint")
+    rows, corrupt = F.count(F.lit(1)), corrupt_count(df)
+    rows_out = rows - corrupt
+    before = rows if rows_in is None else F.lit(rows_in).cast("bigint")
     duplicates = null_double if rows_in is None else F.try_divide(before - rows_out, before)
     return df.agg(
         F.lit(dataset).alias("dataset"),
@@ -93,7 +94,7 @@ def run_metrics(
         F.lit(processed_ts).cast("timestamp").alias("processed_ts"),
         before.alias("rows_in"),
         rows_out.alias("rows_out"),
-        corrupt_count(df).alias("corrupt_rows"),
+        corrupt.alias("corrupt_rows"),
         null_counts(profiled).alias("nulls_json"),
         F.lit(schema_json(df)).alias("columns_json"),
         duplicates.cast("double").alias("dup_ratio"),
@@ -102,6 +103,6 @@ def run_metrics(
             "freshness_lag_minutes"
         ),
         (F.lit(None).cast("string") if extras is None else extras).alias("extras_json"),
-        F.lit(status).alias("status"),
+        F.when(corrupt > 0, F.lit("warn")).otherwise(F.lit("ok")).alias("status"),
         F.lit(notes).alias("notes"),
     )

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contrail.operators.enrich import fits_broadcast, join_dimension
+from contrail.operators.enrich import Dimension, join_dimension
 from contrail.operators.quality import freshness_lag as _freshness
 from contrail.operators.quantiles import exact_quantiles
 from contrail.operators.topk import top_n
@@ -54,10 +54,10 @@ def slice_flights(
 
 def star_join(
     flights: DataFrame,
-    dates: DataFrame,
-    airports: DataFrame,
+    dates: DataFrame | Dimension,
+    airports: DataFrame | Dimension,
     airlines: DataFrame,
-    prefixes: DataFrame,
+    prefixes: DataFrame | Dimension,
     role: str = "dep",
 ) -> DataFrame:
     """JOIN-05: flights with the attributes of all four dimensions; inner joins
@@ -74,14 +74,14 @@ def star_join(
     return join_dimension(joined, names, {"airline_name": "airline_name"}, {}, "inner")
 
 
-def flights_by_airport(flights: DataFrame, airports: DataFrame, role: str) -> DataFrame:
+def flights_by_airport(flights: DataFrame, airports: DataFrame | Dimension, role: str) -> DataFrame:
     """KPI-02, JOIN-06: flights per airport, keyed by departure or by arrival."""
     code = f"{_role(role)}_icao"
     counts = flights.groupBy(F.col(code).alias("icao")).agg(F.count(F.lit(1)).alias("flights"))
     return join_dimension(counts, airports, {"icao": "icao"}, {"name": "airport_name"}, "inner")
 
 
-def flights_by_airport_roles(flights: DataFrame, airports: DataFrame) -> DataFrame:
+def flights_by_airport_roles(flights: DataFrame, airports: DataFrame | Dimension) -> DataFrame:
     """Both roles in one scan: departures and arrivals per airport."""
     ends = flights.select(
         F.explode(
@@ -102,7 +102,7 @@ def flights_by_airport_roles(flights: DataFrame, airports: DataFrame) -> DataFra
     return join_dimension(counts, airports, {"icao": "icao"}, {"name": "airport_name"}, "inner")
 
 
-def top_airports(flights: DataFrame, airports: DataFrame, n: int = 10) -> DataFrame:
+def top_airports(flights: DataFrame, airports: DataFrame | Dimension, n: int = 10) -> DataFrame:
     both = flights_by_airport_roles(flights, airports)
     total = both.withColumn("movements", F.col("departures") + F.col("arrivals"))
     return top_n(total, n, "movements", "icao")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from contrail.functions import checks, text, times
 from contrail.operators.dedupe import latest_per_key
-from contrail.operators.enrich import fits_broadcast, join_dimension
+from contrail.operators.enrich import Dimension, join_dimension
 from contrail.operators.project import add_layer_metadata, require_keys, select_allowlist
 
 # Columns of the published tables.
@@ -80,8 +80,8 @@ def silver_states(bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0")
     return select_allowlist(stamped, STATES_COLUMNS)
 
 
-def clean_flights(bronze: DataFrame) -> DataFrame:
-    """Rename, times, calendars, route and key; before enrichment and dedupe."""
+def identify_flights(bronze: DataFrame) -> DataFrame:
+    """Normalised columns, times and key: all that the dedupe needs."""
     named = bronze.select(
         text.normalize_str("icao24").alias("icao24"),
         text.normalize_callsign("callsign").alias("callsign_norm"),
@@ -91,38 +91,42 @@ def clean_flights(bronze: DataFrame) -> DataFrame:
         times.epoch_to_ts("lastSeen").alias("last_seen_ts"),
         *_present(bronze, LINEAGE),
     )
-    keyed = named.withColumns(
+    key = text.slot_key(
+        "icao24",
+        "dep_icao",
+        "arr_icao",
+        F.unix_timestamp("first_seen_ts"),
+        F.unix_timestamp("last_seen_ts"),
+    )
+    return require_keys(named, "first_seen_ts", "last_seen_ts").withColumn("flight_id", key)
+
+
+def derive_flights(identified: DataFrame) -> DataFrame:
+    """Block time, route, airline prefix and both calendars."""
+    return identified.withColumns(
         {
             "block_time_s": times.block_time_s("first_seen_ts", "last_seen_ts"),
             "route_key": text.route_key("dep_icao", "arr_icao"),
-            "flight_id": text.slot_key(
-                "icao24",
-                "dep_icao",
-                "arr_icao",
-                F.unix_timestamp("first_seen_ts"),
-                F.unix_timestamp("last_seen_ts"),
-            ),
             "airline_prefix": text.airline_prefix("callsign_norm"),
             **times.calendar_columns("first_seen_ts", "dep"),
             **times.calendar_columns("last_seen_ts", "arr"),
         }
     )
-    return require_keys(keyed, "flight_id", "first_seen_ts", "last_seen_ts")
 
 
-def enrich_airline(flights: DataFrame, airlines: DataFrame) -> DataFrame:
+def enrich_airline(flights: DataFrame, airlines: DataFrame | Dimension) -> DataFrame:
     """JOIN-01: airline name by callsign prefix."""
     return join_dimension(
         flights, airlines, {"airline_prefix": "prefix"}, {"airline_name": "airline_name"}
     )
 
 
-def enrich_airports(flights: DataFrame, airports: DataFrame) -> DataFrame:
+def enrich_airports(flights: DataFrame, airports: DataFrame | Dimension) -> DataFrame:
     """JOIN-02 and FLT-05: IATA codes of both ends and the unknown flags."""
-    small = fits_broadcast(airports)
+    airports = Dimension.of(airports)
     for role in ("dep", "arr"):
         flights = join_dimension(
-            flights, airports, {f"{role}_icao": "icao"}, {"iata": f"{role}_iata"}, small=small
+            flights, airports, {f"{role}_icao": "icao"}, {"iata": f"{role}_iata"}
         )
     return flights.withColumns(
         {
@@ -134,8 +138,8 @@ def enrich_airports(flights: DataFrame, airports: DataFrame) -> DataFrame:
 
 def silver_flights(
     bronze: DataFrame,
-    airlines: DataFrame,
-    airports: DataFrame,
+    airlines: DataFrame | Dimension,
+    airports: DataFrame | Dimension,
     source: str,
     run_ts: datetime,
     version: str = "v1.0.0",
@@ -143,12 +147,13 @@ def silver_flights(
     """SLV-02 for one feed.  ``airlines`` and ``airports`` are the clean silver
     references, unique on their keys, so the row count does not change (D5, D6).
 
-    Duplicates go first: they share their key, hence everything the references
-    could add, and fewer rows are enriched."""
-    clean = clean_flights(bronze)
-    order = _present(clean, ["_ingest_ts", "_source_file", "callsign_norm"])
-    unique = latest_per_key(clean, FLIGHTS_KEY, order)
-    enriched = enrich_airports(enrich_airline(unique, airlines), airports)
+    Duplicates go first and everything that follows from a flight's own columns
+    is derived after them: the shuffle carries few columns, and repeated rows are
+    neither derived nor enriched."""
+    identified = identify_flights(bronze)
+    order = _present(identified, ["_ingest_ts", "_source_file", "callsign_norm"])
+    unique = latest_per_key(identified, FLIGHTS_KEY, order)
+    enriched = enrich_airports(enrich_airline(derive_flights(unique), airlines), airports)
     stamped = add_layer_metadata(enriched, "silver", source, run_ts, version)
     return select_allowlist(stamped, FLIGHTS_COLUMNS)
 

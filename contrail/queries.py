@@ -23,6 +23,7 @@ from contrail.operators import (
     rollup,
     topk,
 )
+from contrail.operators.enrich import Dimension
 from contrail.plans import gold, measures, silver
 from contrail.samples import RUN_TS
 from contrail.session import pin_utc, scratch_path, stage
@@ -66,16 +67,21 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_ref_airlines(samples.ref_airlines(spark, sf_dir), RUN_TS)
 
 
-def references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both silver references as the jobs find them: small stored tables."""
-    return (
-        stage(airlines(spark, sf_dir), "ref_airlines")[0],
-        stage(airports(spark, sf_dir), "ref_airports")[0],
-    )
+def airport_dimension(spark: SparkSession, sf_dir: str) -> Dimension:
+    """The silver reference as the jobs find it: a stored table, measured once."""
+    return Dimension.of(stage(airports(spark, sf_dir), "ref_airports")[0])
+
+
+def airline_dimension(spark: SparkSession, sf_dir: str) -> Dimension:
+    return Dimension.of(stage(airlines(spark, sf_dir), "ref_airlines")[0])
+
+
+def references(spark: SparkSession, sf_dir: str) -> tuple[Dimension, Dimension]:
+    return airline_dimension(spark, sf_dir), airport_dimension(spark, sf_dir)
 
 
 def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean_flights(samples.legs(spark, sf_dir))
+    return silver.derive_flights(silver.identify_flights(samples.legs(spark, sf_dir)))
 
 
 def feed(spark: SparkSession, sf_dir: str, name: str, refs=None) -> DataFrame:
@@ -334,7 +340,7 @@ def outlier_flags(spark, sf_dir):
 @query
 def unknown_flags(spark, sf_dir):
     """FLT-05."""
-    _, ref_airports = references(spark, sf_dir)
+    ref_airports = airport_dimension(spark, sf_dir)
     enriched = silver.enrich_airports(clean_legs(spark, sf_dir), ref_airports)
     return enriched.select("flight_id", "dep_icao", "arr_icao", "unknown_dep", "unknown_arr")
 
@@ -372,7 +378,7 @@ def bbox_filter(spark, sf_dir):
 @query
 def enrich_airline(spark, sf_dir):
     """JOIN-01."""
-    ref_airlines, _ = references(spark, sf_dir)
+    ref_airlines = airline_dimension(spark, sf_dir)
     enriched = silver.enrich_airline(clean_legs(spark, sf_dir), ref_airlines)
     return enriched.select("flight_id", "callsign_norm", "airline_prefix", "airline_name")
 
@@ -380,7 +386,7 @@ def enrich_airline(spark, sf_dir):
 @query
 def enrich_airports_role_playing(spark, sf_dir):
     """JOIN-02."""
-    _, ref_airports = references(spark, sf_dir)
+    ref_airports = airport_dimension(spark, sf_dir)
     enriched = silver.enrich_airports(clean_legs(spark, sf_dir), ref_airports)
     return enriched.select("flight_id", "dep_icao", "dep_iata", "arr_icao", "arr_iata")
 
@@ -391,8 +397,9 @@ def enrich_salted(spark, sf_dir):
     customers themselves, per order."""
     orders = samples.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = samples.table(spark, sf_dir, "customer")
+    large = Dimension(customers, small=False)
     return enrich.join_dimension(
-        orders, customers, {"o_custkey": "c_custkey"}, {"c_mktsegment": "segment"}, small=False
+        orders, large, {"o_custkey": "c_custkey"}, {"c_mktsegment": "segment"}
     )
 
 
@@ -415,9 +422,9 @@ def star_join(spark, sf_dir):
     joined = measures.star_join(
         fact,
         calendar(spark, sf_dir),
-        gold.dim_airports(refs[1], RUN_TS),
+        gold.dim_airports(refs[1].frame, RUN_TS),
         gold.dim_airlines(fact, RUN_TS),
-        gold.dim_prefixes(refs[0], RUN_TS),
+        gold.dim_prefixes(refs[0].frame, RUN_TS),
     )
     return joined.groupBy("year", "quarter", "is_weekend", "airport_region", "airline_name").agg(
         F.count(F.lit(1)).alias("flights"), F.sum("block_time_s").alias("block_time_s")
@@ -429,7 +436,7 @@ def flights_by_airport_role(spark, sf_dir):
     """JOIN-06, KPI-02: the same measure along both relations."""
     refs = references(spark, sf_dir)
     fact = flights(spark, sf_dir, refs)
-    dim = gold.dim_airports(refs[1], RUN_TS)
+    dim = gold.dim_airports(refs[1].frame, RUN_TS)
     by_role = [
         measures.flights_by_airport(fact, dim, role).withColumn("role", F.lit(role))
         for role in measures.ROLES
@@ -802,7 +809,7 @@ def top_routes(spark, sf_dir):
 def top_airports(spark, sf_dir):
     """SRT-04."""
     refs = references(spark, sf_dir)
-    dim = gold.dim_airports(refs[1], RUN_TS)
+    dim = gold.dim_airports(refs[1].frame, RUN_TS)
     return measures.top_airports(flights(spark, sf_dir, refs), dim, 10)
 
 

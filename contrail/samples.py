@@ -52,9 +52,9 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flights, one per order line.
 
-    The two narrow tables meet first, so the wide line table is joined with one
-    frame by order and one by supplier.  No join is hinted: all these tables grow,
-    Spark broadcasts by size and splits skewed partitions at run time."""
+    The two narrow tables meet first, so the line table is joined with one frame
+    by order and one by supplier.  Lines and orders are both large at any scale:
+    they meet by shuffle, where skewed partitions are split at run time."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -62,9 +62,9 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    joined = lines.join(
+        placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     line = F.col("l_linenumber")
     return joined.select(
         "l_orderkey",

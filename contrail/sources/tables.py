@@ -66,6 +66,7 @@ def upsert_table(
     when: Column | None = None,
     newest_by: Sequence[str] = (),
     key_fixes_partition: bool = False,
+    staged: bool = False,
 ) -> None:
     """SNK-04/05: keyed upsert into the table at ``path``.
 
@@ -74,14 +75,32 @@ def upsert_table(
     its keys are now.  The result is staged in the shared folder and published
     by one partition overwrite, so nothing reads the path it writes and a lost
     executor costs a task, not the table.  Errors surface; the table is created
-    only when it is missing (D4)."""
+    only when it is missing (D4).  ``staged`` says that the source is a stored
+    frame already."""
+    spark = source.sparkSession
+    scratch = []
+    if not staged:
+        source, source_path = stage(source, "source")
+        scratch.append(source_path)
+    try:
+        _upsert_stored(
+            source, path, keys, partition_cols, set_when_matched, when, newest_by,
+            key_fixes_partition, scratch,
+        )
+    finally:
+        for staged_path in scratch:
+            discard(spark, staged_path)
+
+
+def _upsert_stored(
+    source, path, keys, partition_cols, set_when_matched, when, newest_by, key_fixes_partition, scratch
+) -> None:
     spark = source.sparkSession
-    source, source_path = stage(source, "source")
     if not newest_by:
         merging.require_unique(source, keys)
     if not exists(spark, path):
-        _publish(source, path, partition_cols)
-        discard(spark, source_path)
+        first = merging.newest(source, keys, newest_by) if newest_by else source
+        _publish(first, path, partition_cols)
         return
 
     target = read(spark, path)
@@ -100,13 +119,12 @@ def upsert_table(
     merged, merged_path = stage(
         _merged(target, source, keys, set_when_matched, when, newest_by), "merged"
     )
+    scratch.append(merged_path)
     _publish(merged, path, partition_cols)
     if old_partitions is not None:
         # After the overwrite the old table is gone; what remains outside the
         # merged partitions was emptied by keys that moved away.
         _clear_emptied(spark, path, keys, source, merged, partition_cols)
-    discard(spark, merged_path)
-    discard(spark, source_path)
 
 
 def _merged(target, source, keys, set_when_matched, when, newest_by) -> DataFrame:
@@ -167,13 +185,15 @@ def _directory(column: str, value) -> str:
 
 
 def register(spark: SparkSession, path: str, database: str, table: str) -> None:
-    """SNK-06: a catalog entry for an existing table folder."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    """SNK-06: a catalog entry for an existing table folder.  Run again after a
+    job that added partitions, it makes them known."""
+    name = f"`{database}`.`{table}`"
     location = path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING parquet LOCATION '{location}'"
-    )
-    spark.catalog.refreshTable(f"`{database}`.`{table}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def export(df: DataFrame, path: str, single_file: bool = False) -> None:
