@@ -57,7 +57,9 @@ def join_dimension(
 
     ``on`` maps fact keys to dimension keys, ``columns`` maps dimension columns
     to their names in the result; renaming lets one dimension play several
-    roles.  The dimension must be unique on its keys (JOIN-07).
+    roles.  The dimension is unique on its keys (JOIN-07); grouping it by them
+    tells the optimizer, which then drops the join from queries that use none of
+    the attributes, and makes sure that rows never multiply.
 
     A dimension measured to be small is broadcast, so the fact is not shuffled.
     A larger one is joined by shuffle on key and salt: the fact rows of one key
@@ -67,10 +69,7 @@ def join_dimension(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     dim = Dimension.of(dim)
-    attributes = dim.frame.select(
-        *[F.col(key).alias(f"_dim_{key}") for key in on.values()],
-        *[F.col(source).alias(name) for source, name in columns.items()],
-    )
+    attributes = _unique(dim.frame, list(on.values()), columns)
     conditions = [F.col(f) == F.col(f"_dim_{d}") for f, d in on.items()]
     if dim.small:
         joined = fact.join(F.broadcast(attributes), conditions, how)
@@ -81,3 +80,14 @@ def join_dimension(
         )
         joined = spread.join(repeated, [*conditions, F.col("_salt") == F.col("_dim_salt")], how)
     return joined.drop("_salt", "_dim_salt", *[f"_dim_{key}" for key in on.values()])
+
+
+def _unique(dim: DataFrame, keys: list[str], columns: Mapping[str, str]) -> DataFrame:
+    named = [F.col(key).alias(f"_dim_{key}") for key in keys]
+    if not columns:
+        return dim.select(*named).distinct()
+    carried = F.struct(*[F.col(source).alias(name) for source, name in columns.items()])
+    grouped = dim.groupBy(*named).agg(F.max(carried).alias("_carried"))
+    return grouped.select(
+        *[f"_dim_{key}" for key in keys], *[f"_carried.{name}" for name in columns.values()]
+    )

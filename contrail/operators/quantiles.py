@@ -4,58 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, qs: Sequence[float], bin_width: float = 1.0
+    df: DataFrame,
+    value: str,
+    qs: Sequence[float],
+    bin_width: float = 1.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``(q, value)`` with linear interpolation at rank ``q * (n - 1)``.
+    """``(by.., q, value)`` with linear interpolation at rank ``q * (n - 1)``.
 
     1. Count each distinct value: combined map-side, so repeated values cost one
        row per task.
     2. Total the counts per bin of ``bin_width`` and run over the bins in order.
        There are (range / width) bins, whatever the number of rows.
-    3. Only the bins that hold a wanted rank - at most two per quantile, hence a
-       broadcast of fixed size - are opened and run over value by value.
+    3. Only the bins that hold a wanted rank - at most two per quantile and group -
+       are opened and run over value by value.
 
     NULLs are left out; an empty input gives no rows."""
+    by = list(by)
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
+        .groupBy(*by, F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin", F.floor(F.col("v") / F.lit(float(bin_width))))
+        # Stated here, so that both uses below have the same plan and share one shuffle.
+        .where(F.col("bin").isNotNull())
     )
-    all_bins = Window.partitionBy(F.lit(0))
-    before = all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_bins = Window.partitionBy(*(by or [F.lit(0)]))
     bins = (
-        counts.groupBy("bin")
+        counts.groupBy(*by, "bin")
         .agg(F.sum("n").alias("size"))
         .select(
+            *by,
             "bin",
             "size",
-            (F.sum("size").over(before) - F.col("size")).alias("start"),
+            (F.sum("size").over(_up_to_here(all_bins.orderBy("bin"))) - F.col("size")).alias("start"),
             F.sum("size").over(all_bins).alias("total"),
         )
     )
     rank = F.col("q") * (F.col("total") - 1)
     wanted = (
         bins.select("*", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-        .select("bin", "start", "size", "q", F.floor(rank).alias("low"), F.ceil(rank).alias("high"),
-                (rank - F.floor(rank)).alias("fraction"))
+        .withColumns(
+            {"low": F.floor(rank), "high": F.ceil(rank), "fraction": rank - F.floor(rank)}
+        )
         .where(_covers("low", "start", "size") | _covers("high", "start", "size"))
-        .drop("size")
-    )
-    in_bin = (
-        Window.partitionBy("q", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .drop("size", "total")
     )
-    opened = counts.join(F.broadcast(wanted), "bin").withColumn(
-        "first", F.col("start") + F.sum("n").over(in_bin) - F.col("n")
+    if not by:
+        # Two rows per quantile at most, a size that does not grow.
+        wanted = F.broadcast(wanted)
+    in_bin = Window.partitionBy(*by, "q", "bin").orderBy("v")
+    opened = counts.join(wanted, [*by, "bin"]).withColumn(
+        "first", F.col("start") + F.sum("n").over(_up_to_here(in_bin)) - F.col("n")
     )
     low = F.max(F.when(_covers("low", "first", "n"), F.col("v")))
     high = F.max(F.when(_covers("high", "first", "n"), F.col("v")))
-    return opened.groupBy("q").agg((low + (high - low) * F.max("fraction")).alias("value"))
+    interpolated = low + (high - low) * F.max("fraction")
+    return opened.groupBy(*by, "q").agg(interpolated.alias("value"))
+
+
+def _up_to_here(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _covers(rank: str, start: str, size: str):
+def _covers(rank: str, start: str, size: str) -> Column:
     return (F.col(rank) >= F.col(start)) & (F.col(rank) < F.col(start) + F.col(size))

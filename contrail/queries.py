@@ -68,12 +68,11 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airport_dimension(spark: SparkSession, sf_dir: str) -> Dimension:
-    """The silver reference as the jobs find it: a stored table, measured once."""
-    return Dimension.of(stage(airports(spark, sf_dir), "ref_airports")[0])
+    return Dimension.of(airports(spark, sf_dir))
 
 
 def airline_dimension(spark: SparkSession, sf_dir: str) -> Dimension:
-    return Dimension.of(stage(airlines(spark, sf_dir), "ref_airlines")[0])
+    return Dimension.of(airlines(spark, sf_dir))
 
 
 def references(spark: SparkSession, sf_dir: str) -> tuple[Dimension, Dimension]:
@@ -84,17 +83,18 @@ def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.derive_flights(silver.identify_flights(samples.legs(spark, sf_dir)))
 
 
-def feed(spark: SparkSession, sf_dir: str, name: str, refs=None) -> DataFrame:
+def feeds(spark: SparkSession, sf_dir: str, refs=None) -> list[DataFrame]:
+    """Silver flights of both feeds."""
     ref_airlines, ref_airports = refs or references(spark, sf_dir)
-    bronze = FEEDS[name](samples.legs(spark, sf_dir))
-    return silver.silver_flights(bronze, ref_airlines, ref_airports, f"bronze.{name}", RUN_TS)
+    legs = samples.legs(spark, sf_dir)
+    return [
+        silver.silver_flights(select(legs), ref_airlines, ref_airports, f"bronze.{name}", RUN_TS)
+        for name, select in FEEDS.items()
+    ]
 
 
 def flights(spark: SparkSession, sf_dir: str, refs=None) -> DataFrame:
-    refs = refs or references(spark, sf_dir)
-    return gold.fact_flights(
-        feed(spark, sf_dir, "departures", refs), feed(spark, sf_dir, "arrivals", refs), RUN_TS
-    )
+    return gold.fact_flights(*feeds(spark, sf_dir, refs), RUN_TS)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +418,8 @@ def enrich_no_fanout(spark, sf_dir):
 def star_join(spark, sf_dir):
     """JOIN-05."""
     refs = references(spark, sf_dir)
-    fact, _ = stage(flights(spark, sf_dir, refs), "fact_flights")
+    columns = ["dep_date_utc", "dep_icao", "airline_prefix", "airline_name", "block_time_s"]
+    fact, _ = stage(flights(spark, sf_dir, refs).select(*columns), "fact_flights")
     joined = measures.star_join(
         fact,
         calendar(spark, sf_dir),
@@ -435,8 +436,9 @@ def star_join(spark, sf_dir):
 def flights_by_airport_role(spark, sf_dir):
     """JOIN-06, KPI-02: the same measure along both relations."""
     refs = references(spark, sf_dir)
-    fact = flights(spark, sf_dir, refs)
-    dim = gold.dim_airports(refs[1].frame, RUN_TS)
+    ends = flights(spark, sf_dir, refs).select("dep_icao", "arr_icao")
+    fact, _ = stage(ends, "fact_flights")
+    dim = Dimension.of(gold.dim_airports(refs[1].frame, RUN_TS))
     by_role = [
         measures.flights_by_airport(fact, dim, role).withColumn("role", F.lit(role))
         for role in measures.ROLES
@@ -750,8 +752,8 @@ def silver_states(spark, sf_dir):
 @query
 def silver_flights(spark, sf_dir):
     """SLV-02: both feeds."""
-    refs = references(spark, sf_dir)
-    return feed(spark, sf_dir, "departures", refs).unionByName(feed(spark, sf_dir, "arrivals", refs))
+    departures, arrivals = feeds(spark, sf_dir)
+    return departures.unionByName(arrivals)
 
 
 @query
@@ -796,7 +798,10 @@ def dim_airlines(spark, sf_dir):
 @query
 def kpi_cards(spark, sf_dir):
     """KPI-01, KPI-04, MTH-01."""
-    return rounded(measures.kpi_cards(flights(spark, sf_dir), daily(spark, sf_dir)), "value")
+    columns = ["dep_icao", "arr_icao", "block_time_s", "unknown_dep", "unknown_arr"]
+    fact, _ = stage(flights(spark, sf_dir).select(*columns), "fact_flights")
+    pings, _ = stage(daily(spark, sf_dir), "fact_states")
+    return rounded(measures.kpi_cards(fact, pings), "value")
 
 
 @query
