@@ -7,11 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contrail.operators.dedupe import one_per_key
+from contrail.operators.skew import skew_join
 
 
-def anti_join(candidates: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JOIN-03: candidates without a counterpart in ``done``."""
-    return candidates.join(done.select(*keys), list(keys), "left_anti")
+def anti_join(
+    candidates: DataFrame, done: DataFrame, keys: Sequence[str], hot: Sequence[int] = ()
+) -> DataFrame:
+    """JOIN-03: candidates without a counterpart in ``done``; ``hot`` names the
+    hashes of keys with many candidates (``skew.hot_hashes``)."""
+    return skew_join(candidates, done, keys, "left_anti", hot)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from contrail.operators import (
     project,
     quality,
     rollup,
+    skew,
     topk,
 )
 from contrail.operators.enrich import Dimension
@@ -150,9 +151,11 @@ def discover_new_files(spark, sf_dir):
 def anti_join_done(spark, sf_dir):
     """JOIN-03 at table size: flights of the arrival feed the other one lacks."""
     keys = ["l_orderkey", "l_linenumber"]
-    legs = samples.legs(spark, sf_dir)
-    done = samples.departures(legs).select(*keys).distinct()
-    return merge.anti_join(samples.arrivals(legs), done, keys).select(*keys, "icao24", "lastSeen")
+    ends = ["estDepartureAirport", "estArrivalAirport"]
+    legs, _ = stage(samples.legs(spark, sf_dir).select(*keys, *ends, "icao24", "lastSeen"), "legs")
+    arrivals, done = samples.arrivals(legs), samples.departures(legs)
+    missing = merge.anti_join(arrivals, done, keys, skew.hot_hashes(legs, keys))
+    return missing.select(*keys, "icao24", "lastSeen")
 
 
 @query

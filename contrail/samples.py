@@ -11,6 +11,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from contrail.operators.skew import hot_hashes, skew_join
+
 # Time of the run wherever a result carries one.
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
@@ -53,18 +55,22 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flights, one per order line.
 
     The two narrow tables meet first, so the line table is joined with one frame
-    by order and one by supplier.  Lines and orders are both large at any scale:
-    they meet by shuffle, where skewed partitions are split at run time."""
+    by order and one by supplier.  All of them grow, and an order or a supplier
+    may hold a large share of the lines."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
+    )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(
-        placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "c_nationkey", "c_mktsegment"
+    )
+    hot = {key: hot_hashes(lines, [key]) for key in ("l_orderkey", "l_suppkey")}
+    ordered = skew_join(lines, placed.hint("merge"), ["l_orderkey"], hot=hot["l_orderkey"])
+    joined = skew_join(ordered, suppliers, ["l_suppkey"], hot=hot["l_suppkey"])
     line = F.col("l_linenumber")
     return joined.select(
         "l_orderkey",

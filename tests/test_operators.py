@@ -9,7 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from contrail.operators import dedupe, enrich, hashing, merge, project, quality, rollup, topk
+from contrail.operators import dedupe, enrich, hashing, merge, project, quality, rollup, skew, topk
 from contrail.operators.enrich import Dimension
 from contrail.operators.quantiles import exact_quantiles
 from contrail.plans import gold, measures, silver
@@ -232,3 +232,25 @@ def test_reference_golden_counts(spark):
     assert out.count() == 46 and out.where("iata is null").count() == 5
     ratio = quality.dup_ratio(silver.clean_ref_airports(raw), ["icao"]).first()["dup_ratio"]
     assert round(ratio, 5) == 0.06122
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("fits", [True, False])
+def test_skew_join_equals_the_plain_join(spark, rows, monkeypatch, how, fits):
+    left = spark.range(0, 900, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"),
+        F.lit("x").alias("copy"),
+    )
+    right = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c"), (900, "d"), (None, "n")], "k long, v string")
+    hot = skew.hot_hashes(left, ["k"], share=0.05, min_rows=0)
+    expected = {r[0] for r in spark.createDataFrame([(7,), (None,)], "k long").select(F.xxhash64("k")).collect()}
+    assert set(hot) == expected
+    monkeypatch.setattr(skew, "fits_broadcast", lambda few: fits)
+    got = skew.skew_join(left, right, ["k"], how, hot=hot)
+    assert rows(got) == rows(left.join(right, "k", how))
+
+
+def test_no_hot_key_in_an_even_or_small_table(spark):
+    even = spark.range(5000).withColumn("k", F.col("id") % 1000)
+    assert skew.hot_hashes(even, ["k"], min_rows=0) == []
+    assert skew.hot_hashes(even.withColumn("k", F.lit(1)), ["k"]) == []
