@@ -19,11 +19,9 @@ from contrail import spark_session
 from contrail.queries import QUERIES
 
 HEADLINE = (
-    "fact_states", "silver_states", "p95_by_entity", "dup_ratio", "null_profile", "dedupe_latest",
-    "calendar_columns", "flight_key", "decode_positional", "enrich_airline", "enrich_salted",
-    "silver_flights", "fact_flights", "merge_upsert", "upsert_newest", "manifest_merge",
-    "dataset_tree_hash", "scan_partition_prune", "export_roundtrip", "kpi_cards", "top_routes",
-    "daily_trend", "turnaround", "block_time_percentiles", "star_join",
+    "fact_states", "silver_states", "dup_ratio", "dedupe_latest", "flight_key", "enrich_airline",
+    "enrich_salted", "silver_flights", "fact_flights", "merge_upsert", "manifest_merge",
+    "dataset_tree_hash", "export_roundtrip", "kpi_cards", "top_routes", "turnaround",
 )
 
 
