@@ -11,7 +11,6 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contrail import schemas
 from contrail.operators import hashing, quality
 from contrail.plans import bronze, gold, silver
 from contrail.session import discard, pin_utc, stage

@@ -134,3 +134,11 @@ def test_export_and_catalog(spark, tmp_path):
     assert spark.table("layer_x.t").where("d = date'2024-01-02'").count() == 1
     tables.ensure(spark, str(tmp_path / "empty"), DDL)
     assert tables.read(spark, str(tmp_path / "empty")).columns == ["k", "d", "v", "t"]
+
+
+def test_listed_files_keep_their_partition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    tables.replace_partitions(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1), (3, 3, "c", 1)), path, ["d"])
+    listed = files.list_files(spark, path, "*.parquet").where(F.col("source_file").rlike("d=2024-01-0[12]"))
+    got = files.read_parquet_files(spark, ledger.next_batch(listed), path)
+    assert rows(got, "k", "d") == [(1, date(2024, 1, 1)), (2, date(2024, 1, 2))]
