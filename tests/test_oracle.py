@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from contrail.oracle import ORACLE
+from contrail.queries import QUERIES
 
 SAMPLES = Path(os.environ.get("SAMPLES_DIR", "/root/testdata/sf0.001"))
 TYPES = {
@@ -31,17 +33,19 @@ def text(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry_point.queries()[name](spark, str(SAMPLES))
-    expected = duck.sql(entry_point.oracle_sql()[name])
+    df = QUERIES[name](spark, str(SAMPLES))
+    expected = duck.sql(ORACLE[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     types = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
