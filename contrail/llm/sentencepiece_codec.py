@@ -155,8 +155,8 @@ class Codec:
 
     def _surfaces(self, chunks: list[str]) -> np.ndarray:
         """Byte lengths of the pieces where some are unknown and so have no length of their own."""
-        found = self._segments.encode(chunks, out_type="immutable_proto", num_threads=1)
-        return np.array([len(p.surface.encode()) for c in found for p in c.pieces], np.int64)
+        found = self._segments.encode(chunks, return_type="proto", num_threads=1)
+        return np.array([p.end - p.begin for c in found for p in c.pieces], np.int64)
 
     def decode(self, ids: list[int]) -> str:
         return self._library.decode(ids)

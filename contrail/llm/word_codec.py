@@ -1,8 +1,8 @@
 """Ids of whole texts by a tokenizer file of the ``tokenizers`` library, word by word.
 
 The library looks at a text word by word after normalising it, so each distinct word is
-given to it once per worker.  This holds for texts of Latin letters, marks, digits and
-usual punctuation under the rules checked in ``word_rules``; every other text, and any
+given to it once per worker.  This holds for texts of Latin letters, digits and usual
+punctuation, but without combining marks, under the rules checked in ``word_rules``; every other text, and any
 tokenizer with other rules, goes to the library whole."""
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from tokenizers import Tokenizer
 
 from contrail.llm.pieces import ChunkStore
 
-#: Code points whose classes and lower-case forms have long been the same in every library.
-_RANGES = ((0x00, 0x24F), (0x300, 0x36F), (0x2000, 0x206F), (0x20A0, 0x20BF))
+#: Code points whose classes and lower-case forms every library agrees on, and whose
+#: lower-case and composed forms are among them again.
+_RANGES = ((0x00, 0x12F), (0x131, 0x17F), (0x2000, 0x206F), (0x20A0, 0x20BF))
 #: The rules of a lower-casing, word-end tokenizer that this module follows.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
