@@ -1,6 +1,7 @@
 """Language by compression: the dictionary that makes a text smallest names its language.
 
-Texts and dictionaries are put in lower case first: capitals would match no dictionary."""
+Texts and dictionaries are reduced to their words in lower case first: capitals and odd
+punctuation would match no dictionary."""
 
 from __future__ import annotations
 
@@ -17,12 +18,16 @@ from contrail.llm.common import free_name, prepare, text_parts, whole_text
 UNDECIDED = "und"
 #: Bound of the labelled sample: documents per language, characters of each, bytes of a
 #: dictionary.  The documents are those with the smallest hashes.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 96, 3_000, 112_640
+SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2_000, 112_640
 #: A text is compressed in blocks, so that it leans on the dictionary and not on itself.
-BLOCK_BYTES, LEVEL = 2_048, 3
+BLOCK_BYTES, LEVEL = 512, 6
 #: The best size must be this share smaller than the second; else the text is rejected.
 MARGIN = 0.01
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def words(text: str) -> bytes:
+    return " ".join(_WORD.findall(text.lower())).encode()
 
 
 class Model(NamedTuple):
@@ -56,7 +61,7 @@ def train(
     )
     by: dict[str, bytes] = {}
     for row in rows:
-        by[row["lang"]] = by.get(row["lang"], b"") + row["t"].lower().encode() + b"\n"
+        by[row["lang"]] = by.get(row["lang"], b"") + words(row["t"]) + b"\n"
     names = sorted(by)
     return Model(names, [by[n][:DICTIONARY_BYTES] for n in names])
 
@@ -75,9 +80,9 @@ class _Sizes:
 
     def best(self, text: str) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and the share by which the best is smaller than the second."""
-        if not self._languages or not _LETTER.search(text):
+        raw = words(text)
+        if not self._languages or not raw:
             return UNDECIDED, 0.0, 0.0
-        raw = text.lower().encode()
         blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
         sizes = [sum(len(compress(b)) for b in blocks) for compress in self._by]
         if len(sizes) == 1:
