@@ -30,6 +30,21 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A NULL key names no row: refuse it."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    if not df.where(missing).isEmpty():
+        raise ValueError(f"NULL in source key {list(keys)}")
+    return df
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> list[Column]:
+    """Keys of two sides agree; NULL agrees with NULL, so that no row is added twice."""
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace or join the target rows; ``source`` is unique on ``keys``.
 
@@ -37,7 +52,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     survives, so an anti join is enough.  Otherwise columns the source lacks keep
     their target value."""
     if set(target.columns) <= set(source.columns):
-        kept = anti_join(target, source, keys)
+        kept = target.alias("t").join(source.select(*keys).alias("s"), _same("t", "s", keys), "left_anti")
         return kept.unionByName(source, allowMissingColumns=True)
     updates = {c: F.col(f"s.{c}") for c in source.columns if c not in keys}
     return merge(target, source, keys, updates)
@@ -57,7 +72,7 @@ def merge(
     columns = list(dict.fromkeys([*target.columns, *source.columns]))
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
+    joined = t.join(s, _same("t", "s", keys), "full_outer")
     inserted = F.col("t._in_target").isNull()
     changed = F.col("t._in_target").isNotNull() & F.col("s._in_source").isNotNull()
     if when is not None:

@@ -56,7 +56,8 @@ def _record_run(
 
 
 def _write_metrics(lake: Lake, layer: str, metrics: DataFrame) -> None:
-    tables.append(metrics, lake.metrics(layer))
+    """One row per dataset and run: a repeated run replaces its own."""
+    tables.replace_partitions(metrics, lake.metrics(layer), ["dataset", "ingest_id"])
 
 
 # Bronze.
@@ -72,11 +73,12 @@ def ingest_files(
     run_ts: datetime,
     name_glob: str = "*.json.gz",
     tagged: bool = False,
-    max_files: int = ledger.MAX_FILES,
+    max_files: int | None = None,
 ) -> int:
-    """BRZ-01/02: the next batch of unseen files; returns how many.
+    """BRZ-01/02: all unseen files; returns how many.
 
-    The batch is entered as ``processing`` before it is written and as ``done``
+    ``max_files`` limits a batch, not the call: batches follow one another, the first
+    under ``run_id`` and each later one under an id of its own.  A batch is entered as ``processing`` before it is written and as ``done``
     after.  A run that was lost in between is finished first, under its own id
     and time: it overwrites what it may have written, so nothing is twice in the
     table (D3)."""
@@ -90,11 +92,12 @@ def ingest_files(
 
     manifest = ledger.read_manifest(spark, lake.manifest("bronze"))
     found = files.list_files(spark, raw_root, name_glob)
-    batch = ledger.next_batch(ledger.new_files(found, manifest, dataset), max_files)
-    if batch:
-        _record_run(spark, lake, "bronze", dataset, batch, run_id, run_ts, None, ledger.PROCESSING)
-        _load(spark, lake, dataset, batch, ddl, run_id, run_ts, tagged)
-    return len(batch)
+    batches = ledger.batches(ledger.new_files(found, manifest, dataset), max_files)
+    for number, batch in enumerate(batches):
+        batch_id = f"{run_id}.{number}" if number else run_id
+        _record_run(spark, lake, "bronze", dataset, batch, batch_id, run_ts, None, ledger.PROCESSING)
+        _load(spark, lake, dataset, batch, ddl, batch_id, run_ts, tagged)
+    return sum(map(len, batches))
 
 
 def _load(spark, lake, dataset, batch, ddl, run_id, run_ts, tagged) -> None:
@@ -140,10 +143,12 @@ def ingest_snapshot(
         return False
     frame = bronze.bronze_frame(files.read_csv(spark, file, ddl), run_id, run_ts)
     staged, path = stage(frame, dataset)
-    tables.overwrite(staged, lake.table("bronze", dataset))
-    metrics = quality.run_metrics(staged, dataset, file, run_id, run_ts, exclude=bronze.METADATA)
-    _write_metrics(lake, "bronze", metrics)
-    discard(spark, path)
+    try:
+        tables.overwrite(staged, lake.table("bronze", dataset))
+        metrics = quality.run_metrics(staged, dataset, file, run_id, run_ts, exclude=bronze.METADATA)
+        _write_metrics(lake, "bronze", metrics)
+    finally:
+        discard(spark, path)
     _record_run(
         spark, lake, "bronze", dataset, [seen["source_file"]], run_id, run_ts, None, ledger.DONE,
         seen["file_hash"],
@@ -160,7 +165,7 @@ def pending_batches(spark: SparkSession, lake: Lake, dataset: str, layer: str =
     batches = done.groupBy(F.col("ingest_id").alias("source_file")).agg(F.min("processed_ts").alias("t"))
     manifest = ledger.read_manifest(spark, lake.manifest(layer))
     new = ledger.new_files(batches, manifest, f"{layer}.{dataset}")
-    rows = new.orderBy("t", "source_file").limit(ledger.MAX_FILES).collect()
+    rows = new.orderBy("t", "source_file").collect()
     return [r["source_file"] for r in rows]
 
 
@@ -185,30 +190,37 @@ def _refresh_silver(
     batch = tables.read(spark, lake.table("bronze", dataset)).where(F.col("_ingest_id").isin(pending))
     before, result = build(batch)
     staged, path = stage(result, dataset)
-    tables.upsert_table(
-        staged,
-        lake.table("silver", dataset),
-        key,
-        [partition],
-        newest_by=["_ingest_ts", "_source_file"],
-        key_fixes_partition=True,
-        staged=True,
-    )
-    metrics = quality.run_metrics(
-        staged,
-        f"silver.{dataset}",
-        f"batch://silver.{dataset}/{run_id}",
-        run_id,
-        run_ts,
-        rows_in=before.count(),
-        exclude=silver.LINEAGE,
-        unknown=unknown,
-        fresh="_ingest_ts",
-        extras=extras,
-        notes=f"silver.{dataset} upsert ok",
-    )
-    _write_metrics(lake, "silver", metrics)
-    discard(spark, path)
+    try:
+        # Before the upsert: gold looks at these partitions for this run.  Should the run be
+        # lost, the next one takes the same batches and enters them again.
+        touched = staged.select(F.col(partition).cast("date").alias("day")).distinct()
+        touched = touched.select(F.lit(dataset).alias("dataset"), F.lit(run_id).alias("run_id"), "day")
+        tables.replace_partitions(touched, lake.table("meta", "silver_days"), ["dataset", "run_id"])
+        tables.upsert_table(
+            staged,
+            lake.table("silver", dataset),
+            key,
+            [partition],
+            newest_by=["_ingest_ts", "_source_file"],
+            key_fixes_partition=True,
+            staged=True,
+        )
+        metrics = quality.run_metrics(
+            staged,
+            f"silver.{dataset}",
+            f"batch://silver.{dataset}/{run_id}",
+            run_id,
+            run_ts,
+            rows_in=before.count(),
+            exclude=silver.LINEAGE,
+            unknown=unknown,
+            fresh="_ingest_ts",
+            extras=extras,
+            notes=f"silver.{dataset} upsert ok",
+        )
+        _write_metrics(lake, "silver", metrics)
+    finally:
+        discard(spark, path)
     _record_run(spark, lake, "silver", f"silver.{dataset}", pending, run_id, run_ts, version)
     return len(pending)
 
@@ -281,23 +293,25 @@ def refresh_reference(
     source = lake.table("bronze", dataset)
     raw = tables.read(spark, source)
     staged, path = stage(build(raw, run_ts, version), dataset)
-    tables.overwrite(staged, lake.table("silver", dataset))
-    metrics = quality.run_metrics(
-        staged,
-        f"silver.{dataset}",
-        f"snapshot://silver.{dataset}",
-        run_id,
-        run_ts,
-        rows_in=clean(raw).count(),
-        exclude=silver.LINEAGE,
-        unknown=F.col(checked).isNull(),
-        fresh="_ingest_ts",
-        extras=quality.counts_json({f"unknown_{checked}": F.col(checked).isNull()}),
-        notes=f"silver.{dataset} snapshot ok",
-    )
-    _write_metrics(lake, "silver", metrics)
-    content = hashing.content_hash(staged, hashed).first()["content_hash"]
-    discard(spark, path)
+    try:
+        tables.overwrite(staged, lake.table("silver", dataset))
+        metrics = quality.run_metrics(
+            staged,
+            f"silver.{dataset}",
+            f"snapshot://silver.{dataset}",
+            run_id,
+            run_ts,
+            rows_in=clean(raw).count(),
+            exclude=silver.LINEAGE,
+            unknown=F.col(checked).isNull(),
+            fresh="_ingest_ts",
+            extras=quality.counts_json({f"unknown_{checked}": F.col(checked).isNull()}),
+            notes=f"silver.{dataset} snapshot ok",
+        )
+        _write_metrics(lake, "silver", metrics)
+        content = hashing.content_hash(staged, hashed).first()["content_hash"]
+    finally:
+        discard(spark, path)
     _record_run(
         spark, lake, "silver", f"silver.{dataset}", [source], run_id, run_ts, version, ledger.DONE, content
     )
@@ -307,64 +321,89 @@ def refresh_reference(
 # Gold.
 
 
-def _since(spark: SparkSession, lake: Lake, dataset: str, df: DataFrame) -> DataFrame:
-    """Silver rows written since the last recorded run of a gold table."""
-    manifest = ledger.read_manifest(spark, lake.manifest("gold"))
-    last = ledger.done_entries(manifest, dataset).agg(F.max("processed_ts").alias("t")).first()["t"]
-    if last is None or not tables.exists(spark, lake.table(*dataset.split("."))):
-        return df
-    return df.where(F.col("_silver_ts") >= F.lit(last.astimezone()))
+def _new_runs(spark: SparkSession, lake: Lake, dataset: str, feeds: Sequence[str]) -> dict[str, list[str]]:
+    """Recorded silver runs of each feed that the gold table has not taken, whatever their
+    times: a backfill under an early logical time is new like any other."""
+    taken = ledger.done_entries(ledger.read_manifest(spark, lake.manifest("gold")), dataset)
+    silver_runs = ledger.done_entries(ledger.read_manifest(spark, lake.manifest("silver")))
+    runs = silver_runs.select(
+        F.substring_index("dataset", ".", -1).alias("feed"),
+        F.col("ingest_id").alias("run"),
+        F.concat("dataset", F.lit("/"), "ingest_id").alias("source_file"),
+    ).where(F.col("feed").isin(list(feeds))).distinct()
+    new = runs.join(taken.select("source_file"), "source_file", "left_anti").collect()
+    return {feed: sorted(r["run"] for r in new if r["feed"] == feed) for feed in feeds}
+
+
+def _days_of(spark: SparkSession, lake: Lake, feed: str, runs: Sequence[str], partition: str) -> DataFrame:
+    """The silver rows of the days that ``runs`` wrote; a partition filter on the table."""
+    days = tables.read(spark, lake.table("meta", "silver_days"))
+    days = days.where((F.col("dataset") == feed) & F.col("run_id").isin(list(runs)))
+    table = tables.read(spark, lake.table("silver", feed))
+    return tables.restrict(table, days.select(F.col("day").alias(partition)), [partition])
 
 
 def _finish_gold(
-    spark, lake, dataset, result, run_id, run_ts, version, rows_in=None, extras=None
+    spark, lake, dataset, result, run_id, run_ts, version, rows_in=None, extras=None, taken=()
 ) -> None:
     metrics = quality.run_metrics(
         result, dataset, f"batch://{dataset}/{run_id}", run_id, run_ts, rows_in=rows_in, extras=extras
     )
     _write_metrics(lake, "gold", metrics)
-    _record_run(spark, lake, "gold", dataset, [f"run://{run_id}"], run_id, run_ts, version)
+    _record_run(spark, lake, "gold", dataset, [f"run://{run_id}", *taken], run_id, run_ts, version)
+
+
+def _taken(runs: dict[str, list[str]]) -> list[str]:
+    return [f"silver.{feed}/{run}" for feed, own in runs.items() for run in own]
 
 
 def refresh_fact_flights(
     spark: SparkSession, lake: Lake, run_id: str, run_ts: datetime, version: str = "v1.0.0"
 ) -> None:
-    """FCT-01: new silver rows of both feeds, upserted; the freshest row wins."""
+    """FCT-01: the days of silver runs not yet taken, of both feeds, upserted; the freshest
+    row wins, so rows of these days that were taken before change nothing."""
     pin_utc(spark)
     dataset = "gold.fact_flights"
+    runs = _new_runs(spark, lake, dataset, list(FLIGHT_FEEDS))
     dep, arr = (
-        _since(spark, lake, dataset, tables.read(spark, lake.table("silver", feed)))
-        for feed in FLIGHT_FEEDS
+        _days_of(spark, lake, feed, runs[feed], partition) for feed, partition in FLIGHT_FEEDS.items()
     )
     staged, path = stage(gold.fact_flights(dep, arr, run_ts, version, run_id), "fact_flights")
-    tables.upsert_table(
-        staged,
-        lake.table("gold", "fact_flights"),
-        ["flight_id"],
-        ["dep_date_utc"],
-        newest_by=["_silver_ts", "_ingest_ts", "_source_file"],
-        key_fixes_partition=True,
-        staged=True,
-    )
-    rows_in = dep.count() + arr.count()
-    _finish_gold(spark, lake, dataset, staged, run_id, run_ts, version, rows_in)
-    discard(spark, path)
+    try:
+        tables.upsert_table(
+            staged,
+            lake.table("gold", "fact_flights"),
+            ["flight_id"],
+            ["dep_date_utc"],
+            newest_by=["_silver_ts", "_ingest_ts", "_source_file"],
+            key_fixes_partition=True,
+            staged=True,
+        )
+        rows_in = dep.count() + arr.count()
+        _finish_gold(
+            spark, lake, dataset, staged, run_id, run_ts, version, rows_in, taken=_taken(runs)
+        )
+    finally:
+        discard(spark, path)
 
 
 def refresh_fact_states(
     spark: SparkSession, lake: Lake, run_id: str, run_ts: datetime, version: str = "v1.0.0"
 ) -> None:
-    """FCT-02: recompute the dates that got new silver rows and replace them (D20)."""
+    """FCT-02: recompute the days that silver runs not yet taken wrote, and replace them (D20)."""
     pin_utc(spark)
     dataset = "gold.fact_states"
-    states = tables.read(spark, lake.table("silver", "states"))
-    touched = _since(spark, lake, dataset, states).select("event_date_utc").distinct()
-    source = tables.restrict(states, touched, ["event_date_utc"])
+    runs = _new_runs(spark, lake, dataset, ["states"])
+    source = _days_of(spark, lake, "states", runs["states"], "event_date_utc")
     staged, path = stage(gold.fact_states(source, run_ts, version, run_id), "fact_states")
-    tables.replace_partitions(staged, lake.table("gold", "fact_states"), ["event_date_utc"])
-    extras = F.to_json(F.struct(F.lit(gold.EXPECTED_PINGS_PER_DAY).alias("expected_pings_per_day")))
-    _finish_gold(spark, lake, dataset, staged, run_id, run_ts, version, source.count(), extras)
-    discard(spark, path)
+    try:
+        tables.replace_partitions(staged, lake.table("gold", "fact_states"), ["event_date_utc"])
+        extras = F.to_json(F.struct(F.lit(gold.EXPECTED_PINGS_PER_DAY).alias("expected_pings_per_day")))
+        _finish_gold(
+            spark, lake, dataset, staged, run_id, run_ts, version, source.count(), extras, _taken(runs)
+        )
+    finally:
+        discard(spark, path)
 
 
 def refresh_dimensions(
@@ -386,9 +425,11 @@ def refresh_dimensions(
     for name, (build, reference, key) in upserted.items():
         source = tables.read(spark, lake.table("silver", reference))
         staged, path = stage(build(source, run_ts, version, run_id), name)
-        tables.upsert_table(staged, lake.table("gold", name), [key], staged=True)
-        _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
-        discard(spark, path)
+        try:
+            tables.upsert_table(staged, lake.table("gold", name), [key], staged=True)
+            _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
+        finally:
+            discard(spark, path)
     facts = tables.read(spark, lake.table("gold", "fact_flights"))
     replaced = {
         "dim_airlines": gold.dim_airlines(facts, run_ts, version, run_id),
@@ -396,9 +437,11 @@ def refresh_dimensions(
     }
     for name, frame in replaced.items():
         staged, path = stage(frame, name)
-        tables.overwrite(staged, lake.table("gold", name))
-        _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
-        discard(spark, path)
+        try:
+            tables.overwrite(staged, lake.table("gold", name))
+            _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
+        finally:
+            discard(spark, path)
 
 
 def export_gold(

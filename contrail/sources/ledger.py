@@ -19,7 +19,6 @@ PARTITION = ("dataset",)
 PAYLOAD = ("ingest_id", "processed_ts", "status", "file_hash", "version")
 # Changes that rewrite an entry.
 COMPARED = ("status", "file_hash", "ingest_id", "version")
-MAX_FILES = 10_000
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +83,13 @@ def new_files(candidates: DataFrame, manifest: DataFrame, dataset: str) -> DataF
     return merging.anti_join(candidates, done, ["source_file"])
 
 
-def next_batch(files: DataFrame, max_files: int = MAX_FILES) -> list[str]:
-    """The first files in path order (D19); the rest wait for the next batch."""
-    rows = files.select("source_file").distinct().orderBy("source_file").limit(max_files).collect()
-    return [r["source_file"] for r in rows]
+def batches(files: DataFrame, max_files: int | None = None) -> list[list[str]]:
+    """All files in path order (D19), in batches of ``max_files`` at most; one batch if
+    there is no limit.  The driver lists the files of a scan anyway."""
+    rows = files.select("source_file").distinct().orderBy("source_file").collect()
+    names = [r["source_file"] for r in rows]
+    size = max_files or max(1, len(names))
+    return [names[k : k + size] for k in range(0, len(names), size)]
 
 
 def latest_done(manifest: DataFrame) -> DataFrame:

@@ -1,33 +1,72 @@
-"""Partitioned Parquet tables: append, overwrite, upsert, register (SNK-*)."""
+"""Partitioned Parquet tables: append, overwrite, upsert, register (SNK-*).
+
+A table keeps its schema beside its files, in a folder that Spark's listings skip.  Every
+read is under it: no column depends on which footer is looked at, and partition values
+keep their declared type.  A write that brings new columns adds them to the schema first;
+files written before then read as NULL there."""
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.operators import merge as merging
 from contrail.session import discard, path_exists, stage
 
-# More touched partitions than this are matched by a join, not by a literal list.
-MAX_LITERAL_PARTITIONS = 5_000
+SCHEMA_FOLDER = "_schema"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """SRC-05.  ``merge_schema`` reads every file footer; only after an append
-    that added columns."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """The declared schema; of a folder that was not written here, that of all its footers."""
+    folder = f"{path.rstrip('/')}/{SCHEMA_FOLDER}"
+    if exists(spark, folder):
+        return T.StructType.fromJson(json.loads(spark.read.text(folder).first()["value"]))
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-05: the table under its declared schema."""
+    return spark.read.schema(schema_of(spark, path)).parquet(path)
+
+
+def _declare(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    text = spark.createDataFrame([(nullable.json(),)], "value string").coalesce(1)
+    text.write.mode("overwrite").option("partitionOverwriteMode", "static").text(
+        f"{path.rstrip('/')}/{SCHEMA_FOLDER}"
+    )
+
+
+def _evolve(df: DataFrame, path: str) -> None:
+    """Declare the columns of ``df`` that the table does not have; refuse another type."""
+    spark = df.sparkSession
+    if not exists(spark, path):
+        _declare(spark, path, df.schema)
+        return
+    known = schema_of(spark, path)
+    types = {f.name: f.dataType for f in known.fields}
+    for field in df.schema.fields:
+        kept = types.get(field.name)
+        if kept is not None and kept.simpleString() != field.dataType.simpleString():
+            raise ValueError(
+                f"{field.name} is {kept.simpleString()} in {path}, not {field.dataType.simpleString()}"
+            )
+    added = [f for f in df.schema.fields if f.name not in types]
+    if added or not exists(spark, f"{path.rstrip('/')}/{SCHEMA_FOLDER}"):
+        _declare(spark, path, T.StructType([*known.fields, *added]))
 
 
 def ensure(spark: SparkSession, path: str, ddl: str) -> None:
     """SRC-10: an empty unpartitioned table if there is none."""
     if not exists(spark, path):
-        spark.createDataFrame([], ddl).write.mode("ignore").parquet(path)
+        overwrite(spark.createDataFrame([], ddl), path)
 
 
 def _writer(df: DataFrame, partition_cols: Sequence[str]):
@@ -40,6 +79,7 @@ def _writer(df: DataFrame, partition_cols: Sequence[str]):
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """SNK-01."""
+    _evolve(df, path)
     _writer(df, partition_cols).mode("append").parquet(path)
 
 
@@ -47,12 +87,14 @@ def overwrite(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> N
     """SNK-02: replace the whole table, schema included.  ``df`` must not read it."""
     writer = _writer(df, partition_cols).mode("overwrite")
     writer.option("partitionOverwriteMode", "static").parquet(path)
+    _declare(df.sparkSession, path, df.schema)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """SNK-03: replace the partitions that occur in ``df`` and no others.
 
     Repeating the write gives the same table, so a lost run is simply run again."""
+    _evolve(df, path)
     writer = _writer(df, partition_cols).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
@@ -75,7 +117,8 @@ def upsert_table(
     its keys are now.  The result is staged in the shared folder and published
     by one partition overwrite, so nothing reads the path it writes and a lost
     executor costs a task, not the table.  Errors surface; the table is created
-    only when it is missing (D4).  ``staged`` says that the source is a stored
+    only when it is missing (D4).  Columns that either side lacks are NULL there; a
+    source without a column keeps the stored values.  NULL keys are refused.  ``staged`` says that the source is a stored
     frame already."""
     spark = source.sparkSession
     scratch = []
@@ -96,6 +139,7 @@ def _upsert_stored(
     source, path, keys, partition_cols, set_when_matched, when, newest_by, key_fixes_partition, scratch
 ) -> None:
     spark = source.sparkSession
+    merging.require_keys(source, keys)
     if not newest_by:
         merging.require_unique(source, keys)
     if not exists(spark, path):
@@ -120,11 +164,13 @@ def _upsert_stored(
         _merged(target, source, keys, set_when_matched, when, newest_by), "merged"
     )
     scratch.append(merged_path)
+    # Old partitions that the merged rows do not reach are emptied by keys that moved
+    # away.  Found, and their folders named, before anything is published.
+    emptied = _emptied(old_partitions, merged, partition_cols) if old_partitions is not None else []
     _publish(merged, path, partition_cols)
-    if old_partitions is not None:
-        # After the overwrite the old table is gone; what remains outside the
-        # merged partitions was emptied by keys that moved away.
-        _clear_emptied(spark, path, keys, source, merged, partition_cols)
+    for folder in emptied:
+        empty = merged.drop(*partition_cols).limit(0)
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def _merged(target, source, keys, set_when_matched, when, newest_by) -> DataFrame:
@@ -144,11 +190,9 @@ def _publish(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
 
 
 def restrict(df: DataFrame, partitions: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """Rows of the given partitions; a literal list prunes directories."""
-    values = partitions.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-    if len(values) > MAX_LITERAL_PARTITIONS:
-        conditions = [df[c].eqNullSafe(partitions[c]) for c in partition_cols]
-        return df.join(partitions, conditions, "left_semi")
+    """Rows of the given partitions; the literal list prunes directories, of which the
+    driver lists every one anyway."""
+    values = partitions.distinct().collect()
     if len(partition_cols) == 1:
         present = [v[0] for v in values if v[0] is not None]
         condition = F.col(partition_cols[0]).isin(present)
@@ -164,17 +208,12 @@ def restrict(df: DataFrame, partitions: DataFrame, partition_cols: Sequence[str]
     return df.where(condition)
 
 
-def _clear_emptied(spark, path, keys, source, merged, partition_cols) -> None:
-    table = read(spark, path)
-    stale = (
-        table.join(source.select(*keys), list(keys), "left_semi").select(*partition_cols).distinct()
-    )
+def _emptied(old: DataFrame, merged: DataFrame, partition_cols: Sequence[str]) -> list[str]:
+    """Folders that held a key of the source and hold no merged row; one per partition."""
     kept = merged.select(*[F.col(c).alias(f"_kept_{c}") for c in partition_cols]).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in partition_cols]
-    # One row per emptied partition directory.
-    for row in stale.join(kept, same, "left_anti").collect():
-        folder = "/".join([path.rstrip("/"), *[_directory(c, row[c]) for c in partition_cols]])
-        table.drop(*partition_cols).limit(0).write.mode("overwrite").parquet(folder)
+    gone = old.distinct().join(kept, same, "left_anti").collect()
+    return ["/".join(_directory(c, row[c]) for c in partition_cols) for row in gone]
 
 
 def _directory(column: str, value) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -10,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from contrail import schemas
 from contrail.functions import paths
+from contrail.operators.skew import fits_broadcast
 from contrail.plans.lake import Lake, write_bronze
 from contrail.session import pin_utc
 from contrail.sources import ledger
@@ -31,7 +33,10 @@ def stream_files(
     """Process all files not yet seen, then stop.
 
     The checkpoint remembers the files.  A batch that is run again has the same
-    number, hence the same ingest id, and overwrites its own partitions."""
+    number, hence the same ingest id, and overwrites its own partitions.  The id also
+    names the query, which lives in the checkpoint: another source or another checkpoint
+    never meets it.  Files that a batch run or another stream has entered in the ledger
+    are left out, and those of this batch are entered."""
     pin_utc(spark)
     source = (
         spark.readStream.schema(schemas.with_corrupt(ddl))
@@ -45,13 +50,24 @@ def stream_files(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{dataset}-{batch_id:08d}"
-        run_ts = _started(batch.sparkSession, lake, dataset, run_id, now())
+        spark = batch.sparkSession
+        run_id = f"{dataset}-{_query_id(spark, checkpoint)}-{batch_id:08d}"
+        run_ts = _started(spark, lake, dataset, run_id, now())
+        manifest = ledger.read_manifest(spark, lake.manifest("bronze"))
+        others = ledger.done_entries(manifest, dataset).where(F.col("ingest_id") != run_id)
+        seen = others.select(F.col("source_file").alias("_path")).distinct()
+        batch = batch.join(F.broadcast(seen) if fits_broadcast(seen) else seen, "_path", "left_anti")
         if tagged:
             batch = batch.withColumn("tag", paths.path_tag(F.col("_path")))
+        names = batch.select(F.col("_path").alias("source_file")).distinct()
         frame = add_ingest_metadata(batch, run_id, run_ts, F.col("_path")).drop("_path")
         write_bronze(lake, dataset, frame, run_id, run_ts)
-        _mark(batch.sparkSession, lake, dataset, run_id, run_ts, ledger.DONE)
+        ledger.record(
+            ledger.entries(names, dataset, run_id, run_ts).unionByName(
+                _marker(spark, dataset, run_id, run_ts, ledger.DONE)
+            ),
+            lake.manifest("bronze"),
+        )
 
     return (
         source.writeStream.queryName(f"bronze_{dataset}")
@@ -62,9 +78,15 @@ def stream_files(
     )
 
 
-def _mark(spark, lake, dataset, run_id, run_ts, status) -> None:
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that the checkpoint belongs to; it outlives restarts."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+    return json.loads(text)["id"]
+
+
+def _marker(spark, dataset, run_id, run_ts, status) -> DataFrame:
     batch = spark.createDataFrame([(f"stream://{run_id}",)], "source_file string")
-    ledger.record(ledger.entries(batch, dataset, run_id, run_ts, status), lake.manifest("bronze"))
+    return ledger.entries(batch, dataset, run_id, run_ts, status)
 
 
 def _started(spark, lake, dataset, run_id, run_ts) -> datetime:
@@ -73,5 +95,5 @@ def _started(spark, lake, dataset, run_id, run_ts) -> datetime:
     first = manifest.where((F.col("dataset") == dataset) & (F.col("ingest_id") == run_id)).first()
     if first is not None:
         return first["processed_ts"].astimezone()
-    _mark(spark, lake, dataset, run_id, run_ts, "started")
+    ledger.record(_marker(spark, dataset, run_id, run_ts, "started"), lake.manifest("bronze"))
     return run_ts

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from contrail.operators import merge as merging
 from contrail.session import path_exists, shared_dir
 from contrail.sources import files, ledger, tables
 
@@ -22,7 +23,7 @@ def test_replace_partitions_leaves_the_others(spark, tmp_path, rows):
     tables.replace_partitions(frame(spark, (3, 2, "c", 1)), path, ["d"])
     assert rows(tables.read(spark, path), "k", "v") == [(1, "a"), (3, "c")]
     tables.append(frame(spark, (4, 1, "d", 1)).withColumn("extra", F.lit(5)), path, ["d"])
-    assert rows(tables.read(spark, path, merge_schema=True), "k", "extra") == [(1, None), (3, None), (4, 5)]
+    assert rows(tables.read(spark, path), "k", "extra") == [(1, None), (3, None), (4, 5)]
 
 
 def test_upsert_moves_a_key_between_partitions(spark, tmp_path, rows):
@@ -80,9 +81,42 @@ def test_file_listing_and_hash(spark, tmp_path):
     (tmp_path / "three.txt").write_text("")
     found = files.list_files(spark, str(tmp_path), "*.csv")
     assert found.count() == 2
-    hashes = files.file_hashes(spark, ledger.next_batch(found)).select("file_hash").distinct()
-    assert [r[0] for r in hashes.collect()] == ["bc9454cbdf0ed3c2faf7cbe1f06a1cec"] or hashes.count() == 1
-    assert ledger.next_batch(found, 1)[0].endswith("a/one.csv")
+    (everything,) = ledger.batches(found)
+    hashes = files.file_hashes(spark, everything).select("file_hash").distinct()
+    assert [r[0] for r in hashes.collect()] == ["dc3ba59be5d893be2c69ea202014fe78"]
+    assert [b[0].rsplit("/", 1)[1] for b in ledger.batches(found, 1)] == ["one.csv", "two.csv"]
+
+
+def test_no_upsert_drops_a_value(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    tables.upsert_table(frame(spark, (1, 1, "a", 1)), path, ["k"], ["d"])
+    wider = lambda k, w: frame(spark, (k, 1, "b", 1)).withColumn("w", F.lit(w))
+    tables.upsert_table(wider(3, "W3"), path, ["k"], ["d"])
+    tables.upsert_table(wider(4, "W4"), path, ["k"], ["d"])
+    tables.upsert_table(frame(spark, (3, 1, "c", 2)), path, ["k"], ["d"])
+    assert rows(tables.read(spark, path), "k", "v", "w") == [(1, "a", None), (3, "c", "W3"), (4, "b", "W4")]
+    with pytest.raises(ValueError, match="w is string"):
+        tables.append(wider(5, 5), path, ["d"])
+
+
+def test_null_keys_are_refused_and_never_multiply(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    tables.upsert_table(frame(spark, (1, 1, "a", 1)), path, ["k"])
+    with pytest.raises(ValueError, match="NULL"):
+        tables.upsert_table(frame(spark, (None, 1, "n", 1)), path, ["k"])
+    source = frame(spark, (None, 1, "n", 1), (1, 1, "z", 2))
+    once = merging.upsert(frame(spark, (1, 1, "a", 1)), source, ["k"])
+    assert merging.upsert(once, source, ["k"]).count() == 2
+    every = {c: F.col(f"s.{c}") for c in ("d", "v", "t")}
+    once = merging.merge(frame(spark, (1, 1, "a", 1)), source, ["k"], every)
+    assert rows(merging.merge(once, source, ["k"], every), "k", "v") == [(1, "z"), (None, "n")]
+
+
+def test_partition_values_keep_their_type(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for run in ("0001", "0002", "run-3"):
+        tables.append(spark.range(1).withColumn("run", F.lit(run)), path, ["run"])
+    assert rows(tables.read(spark, path), "run") == [("0001",), ("0002",), ("run-3",)]
 
 
 def test_manifest(spark, tmp_path, at, rows):
@@ -140,5 +174,5 @@ def test_listed_files_keep_their_partition(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     tables.replace_partitions(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1), (3, 3, "c", 1)), path, ["d"])
     listed = files.list_files(spark, path, "*.parquet").where(F.col("source_file").rlike("d=2024-01-0[12]"))
-    got = files.read_parquet_files(spark, ledger.next_batch(listed), path)
+    got = files.read_parquet_files(spark, ledger.batches(listed)[0], path)
     assert rows(got, "k", "d") == [(1, date(2024, 1, 1)), (2, date(2024, 1, 2))]
