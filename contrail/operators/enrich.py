@@ -7,9 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+from contrail.operators.skew import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    SALTS,
+    fits_broadcast,
+    hot_hashes,
+    skew_join,
+)
 
 
 @dataclass(frozen=True)
@@ -32,19 +37,6 @@ class Dimension:
         return cls(frame, fits_broadcast(frame, max_rows, max_bytes))
 
 
-def fits_broadcast(
-    dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure a dimension, reading no more than ``max_rows`` + 1 of its rows."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    size = (
-        dim.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
-
-
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame | Dimension,
@@ -62,10 +54,9 @@ def join_dimension(
     the attributes, and makes sure that rows never multiply.
 
     A dimension measured to be small is broadcast, so the fact is not shuffled.
-    A larger one is joined by shuffle on key and salt: the fact rows of one key
-    are spread by the input partition they come from and the dimension is
-    repeated once per salt, so neither a popular key nor the NULL key ends up in
-    one task."""
+    A larger one is joined by shuffle.  Only keys measured to be hot are joined apart
+    (``skew.skew_join``); no other row of the dimension is repeated.  Fact rows with a NULL
+    key meet nothing and are not shuffled."""
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     dim = Dimension.of(dim)
@@ -74,12 +65,24 @@ def join_dimension(
     if dim.small:
         joined = fact.join(F.broadcast(attributes), conditions, how)
     else:
-        spread = fact.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
-        repeated = attributes.withColumn(
-            "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        )
-        joined = spread.join(repeated, [*conditions, F.col("_salt") == F.col("_dim_salt")], how)
-    return joined.drop("_salt", "_dim_salt", *[f"_dim_{key}" for key in on.values()])
+        joined = _join_large(fact, attributes, on, list(columns.values()), how, salts)
+    return joined.drop(*[f"_dim_{key}" for key in on.values()])
+
+
+def _join_large(fact, attributes, on: Mapping[str, str], added: list[str], how: str, salts: int) -> DataFrame:
+    keys = list(on)
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    dim = attributes.select(*[F.col(f"_dim_{d}").alias(f) for f, d in on.items()], *added)
+    present = fact.where(known)
+    order = [*fact.columns, *added]
+    joined = skew_join(present, dim, keys, how, hot_hashes(present, keys), salts).select(*order)
+    if how == "inner":
+        return joined
+    types = {f.name: f.dataType for f in attributes.schema.fields}
+    absent = fact.where(~known).withColumns({name: F.lit(None).cast(types[name]) for name in added})
+    return joined.unionByName(absent.select(*order))
 
 
 def _unique(dim: DataFrame, keys: list[str], columns: Mapping[str, str]) -> DataFrame:

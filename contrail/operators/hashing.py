@@ -11,7 +11,6 @@ FIELD_SEPARATOR = "␟"
 EMPTY = "EMPTY"
 # Hex digits that name a group on each level of the tree: 16^6 leaves, then 16^3.
 TREE_LEVELS = (6, 3)
-SNAPSHOT_ROWS = 100_000
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -29,8 +28,8 @@ def _or_empty(c: Column) -> Column:
 
 
 def snapshot_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: hash of all sorted row hashes.  For reference snapshots only, the
-    row hashes meet in one task; ``content_hash`` checks the size first."""
+    """One row: hash of all sorted row hashes, the published form.  For reference
+    snapshots: the row hashes meet in one task."""
     return df.select(row_hash(columns).alias("h")).agg(_or_empty(_hash_of_sorted(F.col("h"))))
 
 
@@ -54,7 +53,7 @@ def tree_hash(
     return node.agg(_or_empty(_hash_of_sorted(F.col("entry"))))
 
 
-def content_hash(df: DataFrame, columns: Sequence[str], max_rows: int = SNAPSHOT_ROWS) -> DataFrame:
-    """The snapshot form up to ``max_rows`` rows, the tree form beyond."""
-    measured = df.limit(max_rows + 1).count()
-    return snapshot_hash(df, columns) if measured <= max_rows else tree_hash(df, columns)
+def content_hash(df: DataFrame, columns: Sequence[str], tree: bool = False) -> DataFrame:
+    """The published form, or the tree form.  The caller chooses once per table; size never
+    does, so a growing table keeps comparable hashes."""
+    return tree_hash(df, columns) if tree else snapshot_hash(df, columns)

@@ -6,37 +6,54 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contrail.operators.enrich import SALTS, fits_broadcast
+# A key is hot from this many times the rows of an even task on.
+UNEVEN = 2.0
+# Frequent-item counting is not defined below this share.
+LEAST_SHARE = 1e-4
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+SALTS = 32
 
-# A key with at least this share of the rows is hot; there are at most 1 / share.
-HOT_SHARE = 0.01
-# Below this many rows one task can hold them all.
-MIN_ROWS = 1_000_000
+
+def fits_broadcast(
+    dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measure a dimension, reading no more than ``max_rows`` + 1 of its rows."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    size = (
+        dim.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+        .first()
+    )
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_hashes(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = MIN_ROWS
-) -> list[int]:
+def hot_share(df: DataFrame) -> float:
+    """Share of the rows above which one key makes a task uneven: it follows from the number
+    of tasks that the rows are dealt to, at any size."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(0.5, max(LEAST_SHARE, UNEVEN / width))
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], share: float | None = None) -> list[int]:
     """Hashes of the keys that hold at least ``share`` of the rows, NULL included.
 
     Two passes over the key columns without a shuffle of rows: frequent-item
     counting keeps at most 1 / share candidates per task and misses no hot key,
-    then the candidates are counted exactly."""
+    then the candidates are counted exactly, together with the total."""
+    share = hot_share(df) if share is None else share
     hashed = df.select(key_hash(keys).alias("h"))
-    total = hashed.count()
-    if total < min_rows:
-        return []
     candidates = hashed.stat.freqItems(["h"], share).first()[0]
     if not candidates:
         return []
-    counts = (
-        hashed.where(F.col("h").isin(candidates)).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return sorted(r["h"] for r in counts.where(F.col("n") >= share * total).collect())
+    named = F.when(F.col("h").isin(candidates), F.col("h"))
+    counts = hashed.groupBy(named.alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    return sorted(r["h"] for r in counts if r["h"] is not None and r["n"] >= share * total)
 
 
 def skew_join(

@@ -156,7 +156,7 @@ def test_content_hashes(spark):
         assert value(df.limit(0)) == "EMPTY"
     flat = hashing.content_hash(df, ["a", "b"]).first()
     assert flat == hashing.snapshot_hash(df, ["a", "b"]).first()
-    assert hashing.content_hash(df, ["a", "b"], max_rows=10).first() == hashing.tree_hash(df, ["a", "b"]).first()
+    assert hashing.content_hash(df, ["a", "b"], tree=True).first() == hashing.tree_hash(df, ["a", "b"]).first()
 
 
 def test_run_metrics(spark):
@@ -242,7 +242,7 @@ def test_skew_join_equals_the_plain_join(spark, rows, monkeypatch, how, fits):
         F.lit("x").alias("copy"),
     )
     right = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c"), (900, "d"), (None, "n")], "k long, v string")
-    hot = skew.hot_hashes(left, ["k"], share=0.05, min_rows=0)
+    hot = skew.hot_hashes(left, ["k"], share=0.05)
     expected = {r[0] for r in spark.createDataFrame([(7,), (None,)], "k long").select(F.xxhash64("k")).collect()}
     assert set(hot) == expected
     monkeypatch.setattr(skew, "fits_broadcast", lambda few: fits)
@@ -250,7 +250,13 @@ def test_skew_join_equals_the_plain_join(spark, rows, monkeypatch, how, fits):
     assert rows(got) == rows(left.join(right, "k", how))
 
 
-def test_no_hot_key_in_an_even_or_small_table(spark):
+def test_hot_is_what_makes_a_task_uneven(spark):
     even = spark.range(5000).withColumn("k", F.col("id") % 1000)
-    assert skew.hot_hashes(even, ["k"], min_rows=0) == []
-    assert skew.hot_hashes(even.withColumn("k", F.lit(1)), ["k"]) == []
+    assert skew.hot_hashes(even, ["k"]) == []
+    assert len(skew.hot_hashes(even.withColumn("k", F.lit(1)), ["k"])) == 1
+    assert skew.hot_share(even) == 0.5
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        assert skew.hot_share(even) == 0.002
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
