@@ -34,8 +34,8 @@ _CTE = {
             as estDepartureAirport,
           case when s_nationkey % 7 <> 6 then ' N' || lpad(cast(s_nationkey as varchar), 3, '0') || ' '
             end as estArrivalAirport,
-          cast(floor(epoch(o_orderdate)) as bigint) as firstSeen,
-          cast(floor(epoch(l_shipdate)) as bigint) as lastSeen,
+          cast(floor(epoch(o_orderdate)) as bigint) + l_orderkey * 7919 % 86400 as firstSeen,
+          cast(floor(epoch(l_shipdate)) as bigint) + l_partkey * 104729 % 86400 as lastSeen,
           l_partkey * 100000 + l_suppkey as _ingest_ts
         from lineitem join orders on l_orderkey = o_orderkey
           join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey""",
@@ -447,9 +447,15 @@ ORACLE: dict[str, str] = {
     "enrich_salted": """
         select o_orderkey, o_custkey, c_mktsegment as segment
         from orders left join customer on o_custkey = c_custkey""",
-    "enrich_no_fanout": """
-        select side, (select count(*) from lineitem) as rows
-        from (select unnest(['before', 'after']) as side)""",
+    "enrich_no_fanout": _sql(
+        ["legs", "raw_airlines", "airlines", "raw_airports", "airports", "clean_legs"],
+        """
+        select side, (select count(*) from lineitem) as rows, count(*) as matched
+        from clean_legs join airlines on airline_prefix = prefix join airports on dep_icao = icao,
+          (select unnest(['clean references', 'untidy references']) as side)
+        group by side
+        union all select 'before', (select count(*) from lineitem), 0""",
+    ),
     "star_join": _sql(
         [*_FLIGHTS, "calendar"],
         """
@@ -459,6 +465,20 @@ ORACLE: dict[str, str] = {
           join airports p on f.dep_icao = p.icao join airlines l on f.airline_prefix = l.prefix
         where f.airline_name is not null group by all""",
     ),
+    "star_join_states": _sql(
+        _DAILY,
+        """
+        select cast(year(event_date_utc) as int) as year, cast(quarter(event_date_utc) as int) as quarter,
+          isodow(event_date_utc) >= 6 as is_weekend, count(*) as aircraft_days,
+          cast(sum(pings_count) as bigint) as pings
+        from daily group by all""",
+    ),
+    "stored_upsert_new_column": """
+        select o_orderkey, o_orderstatus,
+          case when o_orderpriority = '1-URGENT' then 'third' when o_orderstatus = 'O' then 'second' else 'first' end
+            as batch,
+          case when o_orderstatus = 'O' then o_orderpriority end as priority
+        from orders""",
     "flights_by_airport_role": _sql(
         _FLIGHTS,
         """

@@ -73,6 +73,12 @@ def star_join(
     return join_dimension(joined, airlines, {"airline_name": "airline_name"}, {}, "inner")
 
 
+def star_join_states(facts: DataFrame, dates: DataFrame | Dimension) -> DataFrame:
+    """JOIN-05: daily telemetry facts with the attributes of their date; an inner join."""
+    calendar = {"quarter": "quarter", "year": "year", "is_weekend": "is_weekend"}
+    return join_dimension(facts, dates, {"event_date_utc": "date"}, calendar, "inner")
+
+
 def flights_by_airport(flights: DataFrame, airports: DataFrame | Dimension, role: str) -> DataFrame:
     """KPI-02, JOIN-06: flights per airport, keyed by departure or by arrival."""
     code = f"{_role(role)}_icao"

@@ -249,6 +249,23 @@ def export_roundtrip(spark, sf_dir):
     return tables.read(spark, path).select(*columns)
 
 
+@query
+def stored_upsert_new_column(spark, sf_dir):
+    """SNK-04, SRC-05: three stored upserts; the second brings a column that the first and
+    the third do not have, and no value is lost."""
+    orders = samples.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = scratch_path(spark, "orders")
+    batches = {
+        "first": orders.drop("o_orderpriority"),
+        "second": orders.where("o_orderstatus = 'O'").withColumnRenamed("o_orderpriority", "priority"),
+        "third": orders.where("o_orderpriority = '1-URGENT'").drop("o_orderpriority"),
+    }
+    for name, batch in batches.items():
+        named = batch.withColumn("batch", F.lit(name))
+        tables.upsert_table(named, path, ["o_orderkey"], ["o_orderstatus"], key_fixes_partition=True)
+    return tables.read(spark, path).select("o_orderkey", "o_orderstatus", "batch", "priority")
+
+
 # Projections, filters, predicates.
 
 
@@ -408,13 +425,28 @@ def enrich_salted(spark, sf_dir):
 
 @query
 def enrich_no_fanout(spark, sf_dir):
-    """JOIN-07: as many rows after the joins as before."""
-    ref_airlines, ref_airports = references(spark, sf_dir)
+    """JOIN-07: as many rows after the joins as before, with clean references and with the
+    untidy ones, which have two rows per code; how many found both attributes."""
     legs = clean_legs(spark, sf_dir)
-    enriched = silver.enrich_airports(silver.enrich_airline(legs, ref_airlines), ref_airports)
-    before = legs.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("before").alias("side"), "rows")
-    after = enriched.agg(F.count("route_key").alias("rows")).select(F.lit("after").alias("side"), "rows")
-    return before.unionByName(after)
+    before = legs.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("matched"))
+    sides = [before.select(F.lit("before").alias("side"), "rows", "matched")]
+    raw_airlines, raw_airports = samples.ref_airlines(spark, sf_dir), samples.ref_airports(spark, sf_dir)
+    inputs = {
+        "clean references": references(spark, sf_dir),
+        "untidy references": (silver.clean_ref_airlines(raw_airlines), silver.clean_ref_airports(raw_airports)),
+    }
+    for side, (ref_airlines, ref_airports) in inputs.items():
+        joined = enrich.join_dimension(
+            legs, ref_airlines, {"airline_prefix": "prefix"}, {"prefix": "known_prefix"}
+        )
+        joined = enrich.join_dimension(joined, ref_airports, {"dep_icao": "icao"}, {"icao": "known_icao"})
+        both = F.col("known_prefix").isNotNull() & F.col("known_icao").isNotNull()
+        sides.append(
+            joined.agg(F.count(F.lit(1)).alias("rows"), F.count_if(both).alias("matched")).select(
+                F.lit(side).alias("side"), "rows", "matched"
+            )
+        )
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
 
 
 @query
@@ -435,6 +467,18 @@ def star_join(spark, sf_dir):
     )
 
 
+@query
+def star_join_states(spark, sf_dir):
+    """JOIN-05: the daily telemetry facts along their relation to the dates."""
+    facts = daily(spark, sf_dir)
+    bounds = facts.agg(F.min("event_date_utc").alias("first"), F.max("event_date_utc").alias("last"))
+    dates = gold.calendar_between(bounds, "first", "last")
+    joined = measures.star_join_states(facts, dates)
+    return joined.groupBy("year", "quarter", "is_weekend").agg(
+        F.count(F.lit(1)).alias("aircraft_days"), F.sum("pings_count").alias("pings")
+    )
+
+
 @query
 def flights_by_airport_role(spark, sf_dir):
     """JOIN-06, KPI-02: the same measure along both relations."""

@@ -90,8 +90,9 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_nationkey") % 7 != 6,
             F.concat(F.lit(" N"), F.lpad(_text("s_nationkey"), 3, "0"), F.lit(" ")),
         ).alias("estArrivalAirport"),
-        _epoch("o_orderdate").alias("firstSeen"),
-        _epoch("l_shipdate").alias("lastSeen"),
+        # The tables have dates only: hours and minutes come from the keys.
+        (_epoch("o_orderdate") + F.col("l_orderkey") * 7919 % 86400).alias("firstSeen"),
+        (_epoch("l_shipdate") + F.col("l_partkey") * 104729 % 86400).alias("lastSeen"),
         (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("_ingest_ts"),
     )
 
