@@ -23,9 +23,13 @@ from contrail.session import stage
 WORDS, THRESHOLD = 5, 0.8
 #: Registers of a signature; bands and registers of a band.  At a similarity of 0.8 all
 #: bands miss with a probability of 0.00005.
-REGISTERS, BANDS, BAND_ROWS = 384, 25, 5
+REGISTERS, BANDS, BAND_ROWS = 128, 25, 5
+#: Registers of the finer signature of those that share a bucket and are not yet connected.
+FINE_REGISTERS = 1_280
 #: Pairs whose registers agree this many standard errors below the threshold are not looked at.
 ERRORS = 3.9
+#: Points of a process that are drawn at once at most.
+POINTS = 4_096
 #: Residues of ids that are broadcast at most.
 MARKS = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +86,7 @@ def signatures(row: np.ndarray, value: np.ndarray, count: np.ndarray, texts: int
     if not len(row):
         return result
     total = np.bincount(row, weights=count, minlength=texts)
-    horizon = (math.log(registers) + 3.0) / np.maximum(total, 1.0)
+    horizon = (math.log(registers) + 2.0) / np.maximum(total, 1.0)
     todo = np.flatnonzero(total > 0)
     while len(todo):
         chosen = np.zeros(texts, bool)
@@ -104,17 +108,30 @@ def _earliest(row, value, count, texts, horizon, registers):
         high = max(1, 2 * low)
         span = high - low
         state = _mix(value + np.uint64((level + 1) * int(_GOLD) % (1 << 64)))
-        at, who, reach, text = np.zeros(len(row)), state, count, row
+        # Each process is drawn up to the number of points to expect, then the few that
+        # have not reached the horizon are drawn on.
+        at, drawn, reach, text = np.zeros(len(row)), np.zeros(len(row), np.int64), count, row
         while len(at):
-            who = _mix(who + _GOLD)
-            at = at - np.log(_uniform(who)) / (span * registers)
-            near = at <= horizon[text]
-            at, who, reach, text = at[near], who[near], reach[near], text[near]
+            due = (horizon[text] - at) * (span * registers)
+            block = np.clip(np.ceil(due + 0.5 * np.sqrt(due)), 1, POINTS).astype(np.int64)
+            ends = np.cumsum(block)
+            own = np.repeat(np.arange(len(at)), block)
+            number = np.arange(len(own)) + np.repeat(drawn - ends + block, block)
+            who = _mix(state[own] + (number + 1).astype(np.uint64) * _GOLD)
+            sums = np.cumsum(np.log(_uniform(who)))
+            sums -= np.repeat(np.concatenate([[0.0], sums[ends[:-1] - 1]]), block)
+            when = at[own] - sums / (span * registers)
             point = _mix(who ^ np.uint64(0xD6E8FEB86659FD93))
-            place = _mix(point + _GOLD)
-            kept = low + np.floor(_uniform(place) * span - 1e-18).clip(0, span - 1) < reach if span > 1 else np.ones(len(at), bool)
-            cell = text[kept] * registers + ((point[kept] >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
-            _take(times, marks, cell, at[kept], point[kept])
+            kept = when <= horizon[text[own]]
+            if span > 1:
+                place = _uniform(_mix(point + _GOLD)) * span - 1e-18
+                kept &= low + np.floor(place).clip(0, span - 1) < reach[own]
+            cell = ((point[kept] >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
+            _take(times, marks, text[own[kept]] * registers + cell, when[kept], point[kept])
+            at = when[ends - 1]
+            more = at <= horizon[text]
+            state, at, drawn = state[more], at[more], (drawn + block)[more]
+            reach, text = reach[more], text[more]
         low, level = high, level + 1
         more = count > low
         row, value, count = row[more], value[more], count[more]
@@ -173,16 +190,19 @@ def _elements(classes: DataFrame) -> DataFrame:
     return classes.select("id", "text").mapInArrow(run, "id long, items array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a, b`` whose multisets overlap enough; exact, in the engine.
-
-    Only the texts of the pairs are taken apart.  Their ids fall into ``MARKS`` residues,
-    at most so many rows to broadcast, which keep most other texts out of the shuffle."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of some ids.  The ids fall into ``MARKS`` residues, at most so many rows to
+    broadcast, which keep most other texts out of the shuffle."""
     residue = F.pmod(F.xxhash64("id"), F.lit(MARKS)).cast("int")
     marked = ids.select(residue.alias("_r")).distinct()
     few = texts.withColumn("_r", residue).join(F.broadcast(marked), "_r", "left_semi").drop("_r")
-    items, _ = stage(_elements(few.join(ids, "id", "left_semi")), "minhash-items")
+    return few.join(ids, "id", "left_semi")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a, b`` whose multisets overlap enough; exact, in the engine."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    items, _ = stage(_elements(_texts_of(ids, texts)), "minhash-items")
     right = pairs.join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     both = right.join(items.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
     shared = F.size(F.array_intersect("x", "y"))
@@ -223,10 +243,15 @@ def near_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     centre = heavy.groupBy("band", "value").agg(F.max_by("id", F.struct("w", -F.col("id"))).alias("centre"))
     star = heavy.join(centre, ["band", "value"]).filter("id <> centre")
     star = star.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
-    likely, _ = stage(_agreeing(star, sketches, _least(threshold)), "minhash-pairs")
+    likely, _ = stage(_agreeing(star, sketches, _least(threshold, REGISTERS)), "minhash-pairs")
     first, _ = stage(_verified(likely, texts, threshold), "minhash-links")
     parts, _ = stage(components(first), "minhash-parts")
-    rest, _ = stage(_crossing(members, sketches, parts, _least(threshold)), "minhash-pairs")
+    left = _unconnected(members, parts)
+    left, _ = stage(left, "minhash-open")
+    few = _texts_of(left.select("id").distinct(), texts)
+    fine = _sketched(few, FINE_REGISTERS).select("id", F.col("sketch").alias("fine")).dropDuplicates(["id"])
+    both = sketches.select("id", "bands").dropDuplicates(["id"]).join(fine, "id")
+    rest, _ = stage(_crossing(left, both, _least(threshold, FINE_REGISTERS)), "minhash-pairs")
     second, _ = stage(_verified(rest, texts, threshold), "minhash-links")
     whole = components(first.unionByName(second))
     by_class = classes.join(whole.withColumnRenamed("node", "id"), "id", "left").select("h", "g", "id", "component")
@@ -237,9 +262,9 @@ def near_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _least(threshold: float) -> float:
+def _least(threshold: float, registers: int) -> float:
     """Share of equal registers below which a pair is very unlikely to reach the threshold."""
-    return threshold - ERRORS * math.sqrt(threshold * (1 - threshold) / REGISTERS)
+    return threshold - ERRORS * math.sqrt(threshold * (1 - threshold) / registers)
 
 
 def _agreeing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
@@ -257,15 +282,20 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _crossing(members: DataFrame, sketches: DataFrame, parts: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket that are in different components and whose signatures agree enough."""
+def _unconnected(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of buckets that are not one component yet."""
     known = members.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
     open_ = known.groupBy("band", "value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_ = open_.filter("x <> y").select("band", "value")
-    left = known.join(open_, ["band", "value"]).select("band", "value", "id", "component")
-    spread = tiled(left.join(sketches, "id"), ["band", "value"], "id")
+    return known.join(open_, ["band", "value"]).select("band", "value", "id", "component")
+
+
+def _crossing(left: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """Pairs of one bucket that are in different components and whose finer signatures agree
+    enough; a pair comes from the first bucket that it shares."""
+    spread = tiled(left.join(signed, "id"), ["band", "value"], "id")
     tile = ["band", "value", "_i", "_j"]
 
     def run(batches):
@@ -273,7 +303,7 @@ def _crossing(members: DataFrame, sketches: DataFrame, parts: DataFrame, least:
             begin = starts(table, tile)
             end = np.append(begin[1:], table.num_rows)
             ids, part = table.column("id").to_numpy(), table.column("component").to_numpy()
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            sketch = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(table.num_rows, -1)
             flat = table.column("bands").combine_chunks().flatten().to_numpy()
             bands = flat.reshape(table.num_rows, -1)
             band, chunk = table.column("band").to_numpy(), table.column("_chunk").to_numpy()
