@@ -65,7 +65,7 @@ def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     value = np.zeros(len(row), np.uint64)
     for k in range(words):
         ahead = np.zeros(len(row), np.uint64)
-        ahead[: len(row) - k] = hashed[k:]
+        ahead[: max(0, len(row) - k)] = hashed[k:]
         value = _mix(value * np.uint64(31) + np.where(place + k < lengths[row], ahead, np.uint64(0)) + np.uint64(k + 1))
     full = place <= np.maximum(lengths[row] - words, 0)
     row, value = row[full], value[full]

@@ -2,8 +2,8 @@
 
 The patterns are the base.  The network is trained in numpy from labelled spans: what the
 patterns find in a bounded sample, and variants of it that they miss.  It reads windows
-that overlap by half; the tag probabilities of all windows over a character are averaged
-and one path through the whole stretch is decoded from them.
+that overlap by half; the tag probabilities of all windows over a character are averaged,
+those near its middle counting most, and one path through the whole stretch is decoded from them.
 
 A span of any kind holds a digit or an ``@``.  A window without either is not read: no
 span could come of it."""
@@ -22,9 +22,11 @@ from contrail.llm.common import free_name, prepare, text_parts, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bound of the labelled sample: stretches of text, those with the smallest hashes.
-SAMPLE_STRETCHES, STRETCH = 1_200, 96
+SAMPLE_STRETCHES, STRETCH = 400, 96
 WINDOW, STRIDE = 96, 48
-HIDDEN, EPOCHS, BATCH, RATE, SEED = 16, 6, 32, 0.01, 20_240_103
+#: Windows for training start this far apart, so that a span is seen at many places.
+TRAIN_STRIDE = 24
+HIDDEN, EPOCHS, BATCH, RATE, SEED = 16, 9, 32, 0.015, 20_240_103
 #: Least mean probability of the tags of an added span.
 CONFIDENCE = 0.9
 
@@ -246,7 +248,7 @@ def labelled_windows(stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for text, own in ((stretch, spans), *([_variants(stretch, spans)] if spans else [])):
             padded = _codes(text.ljust(2 * STRETCH))
             tag = _tagged(len(padded), own)
-            for a in range(0, len(padded) - WINDOW + 1, STRIDE):
+            for a in range(0, min(len(text), len(padded) - WINDOW + 1), TRAIN_STRIDE):
                 part = tag[a : a + WINDOW].copy()
                 if part[0] and part[0] % 2 == 0:  # cut into a span: no label for what is left of it
                     part[: int(np.argmax(part % 2 != 0)) if (part % 2 != 0).any() else WINDOW] = 0
@@ -288,6 +290,10 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stretch
     return fit(windows, tags) if tags.any() else None
 
 
+#: A window counts for a character by its distance from the window's nearer end.
+_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1))[:, None] ** 2.0
+
+
 def _stretches(text: str) -> list[tuple[int, list[int]]]:
     """Starts of the windows that hold a sign, in stretches where each overlaps the next."""
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
@@ -316,21 +322,40 @@ def decode(net: Network, texts: list[str]) -> list[list[tuple[str, int, int]]]:
         length = starts[-1] - first + WINDOW
         total, seen = np.zeros((length, TAGS)), np.zeros((length, 1))
         for a in starts:
-            total[a - first : a - first + WINDOW] += chance[at]
-            seen[a - first : a - first + WINDOW] += 1
+            total[a - first : a - first + WINDOW] += chance[at] * _WEIGHT
+            seen[a - first : a - first + WINDOW] += _WEIGHT
             at += 1
         mean = total / seen
         path = _best_path(np.log(mean + 1e-12))
-        spans[i] += [
-            (kind, first + a, first + b)
-            for kind, a, b in _read(path)
-            if first + b <= len(texts[i])
-            and mean[np.arange(a, b), path[a:b]].mean() >= CONFIDENCE
-            and _SIGN.search(texts[i], first + a, first + b)
-        ]
+        for kind, a, b in _read(path):
+            if mean[np.arange(a, b), path[a:b]].mean() >= CONFIDENCE:
+                found = _edges(kind, texts[i], first + a, min(first + b, len(texts[i])))
+                spans[i] += [(kind, *found)] if found else []
     return spans
 
 
+#: What a span of each kind starts and ends with.
+_SHAPE = {"email": re.compile(r"(?s)[A-Za-z0-9].*@.*[A-Za-z0-9]")} | dict.fromkeys(
+    ("ip", "card", "phone"), re.compile(r"(?s)[+(0-9].*[0-9]")
+)
+
+
+def _edges(kind: str, text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The span without blanks and letters at its ends; none if its digits make no such value."""
+    found = _SHAPE[kind].search(text, start, end)
+    if not found:
+        return None
+    digits = _NOT_DIGIT.sub("", found.group())
+    parts = [p for p in _NOT_DIGIT.split(found.group()) if p]
+    likely = {
+        "email": True,
+        "ip": len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts),
+        "card": 13 <= len(digits) <= 19 and luhn(digits),
+        "phone": 7 <= len(digits) <= 15,
+    }
+    return found.span() if likely[kind] else None
+
+
 def _best_path(logs: np.ndarray) -> np.ndarray:
     moves = np.where(_ALLOWED, 0.0, -1e9)
     score, back = logs[0] + np.where(np.arange(TAGS) % 2 == 0, -1e9, 0.0) * (np.arange(TAGS) > 0), []
