@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed values of the published content hash.
 FIELD_SEPARATOR = "␟"
 EMPTY = "EMPTY"
-# Hex digits that name a group on each level of the tree: 16^6 leaves, then 16^3.
-TREE_LEVELS = (6, 3)
+# A row hash is cut into lanes of so many hex digits, which are added up as numbers.
+LANES, LANE_DIGITS = 4, 15
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -33,27 +33,25 @@ def snapshot_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(row_hash(columns).alias("h")).agg(_or_empty(_hash_of_sorted(F.col("h"))))
 
 
-def tree_hash(
-    df: DataFrame, columns: Sequence[str], levels: Sequence[int] = TREE_LEVELS
-) -> DataFrame:
-    """One row: hash of a tree over row hashes, for tables of any size.
-
-    Equal rows are counted first, so copies add to a number and not to a list.
-    Each level groups by fewer leading digits of the hash, which spreads rows
-    evenly; the last level has at most 16^levels[-1] entries."""
-    counted = (
-        df.select(row_hash(columns).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+def multiset_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: hash of the number of rows and of the sums of the lanes of their hashes, for
+    tables of any size.
+
+    Sums do not depend on the order of rows, and copies count.  They are combined where the
+    rows are, so no row is shuffled."""
+    hashed = df.select(row_hash(columns).alias("h"))
+    lanes = [
+        F.sum(
+            F.conv(F.substring("h", 1 + k * LANE_DIGITS, LANE_DIGITS), 16, 10).cast("decimal(28,0)")
+        ).cast("string")
+        for k in range(LANES)
+    ]
+    return hashed.agg(
+        _or_empty(F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *lanes), 256))
     )
-    entry = F.concat_ws(":", F.col("h"), F.col("n").cast("string"))
-    node = counted.select(F.col("h").alias("path"), entry.alias("entry"))
-    for digits in levels:
-        node = node.groupBy(F.substring("path", 1, digits).alias("path")).agg(
-            _hash_of_sorted(F.col("entry")).alias("entry")
-        )
-    return node.agg(_or_empty(_hash_of_sorted(F.col("entry"))))
-
-
-def content_hash(df: DataFrame, columns: Sequence[str], tree: bool = False) -> DataFrame:
-    """The published form, or the tree form.  The caller chooses once per table; size never
-    does, so a growing table keeps comparable hashes."""
-    return tree_hash(df, columns) if tree else snapshot_hash(df, columns)
+
+
+def content_hash(df: DataFrame, columns: Sequence[str], large: bool = False) -> DataFrame:
+    """The published form, or that for large tables.  The caller chooses once per table; size
+    never does, so a growing table keeps comparable hashes."""
+    return multiset_hash(df, columns) if large else snapshot_hash(df, columns)

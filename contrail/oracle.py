@@ -581,15 +581,15 @@ ORACLE: dict[str, str] = {
               from airports)""",
     ),
     "dataset_tree_hash": """
-        with counted as (
-          select h, h || ':' || count(*) as entry
-          from (select sha256(concat_ws('␟', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
-              cast(l_partkey as varchar), l_returnflag)) as h from lineitem) group by h),
-        leaves as (select substr(h, 1, 6) as path, sha256(string_agg(entry, '' order by entry)) as entry
-          from counted group by 1),
-        groups as (select substr(path, 1, 3) as path, sha256(string_agg(entry, '' order by entry)) as entry
-          from leaves group by 1)
-        select sha256(string_agg(entry, '' order by entry)) as content_hash from groups""",
+        with hashed as (
+          select sha256(concat_ws('␟', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+              cast(l_partkey as varchar), l_returnflag)) as h from lineitem),
+        lanes as (
+          select cast('0x' || substr(h, 1, 15) as bigint) as a, cast('0x' || substr(h, 16, 15) as bigint) as b,
+            cast('0x' || substr(h, 31, 15) as bigint) as c, cast('0x' || substr(h, 46, 15) as bigint) as d
+          from hashed)
+        select sha256(concat_ws(':', count(*)::varchar, sum(a)::varchar, sum(b)::varchar, sum(c)::varchar,
+            sum(d)::varchar)) as content_hash from lanes""",
     "distinct_pairs": _sql(
         ["legs", "clean_legs"], "select distinct dep_icao, arr_icao from clean_legs"
     ),

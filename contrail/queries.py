@@ -605,7 +605,7 @@ def dataset_content_hash(spark, sf_dir):
 def dataset_tree_hash(spark, sf_dir):
     """AGG-15 for tables of any size."""
     lines = samples.table(spark, sf_dir, "lineitem")
-    return hashing.tree_hash(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"])
+    return hashing.multiset_hash(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"])
 
 
 @query

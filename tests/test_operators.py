@@ -147,7 +147,7 @@ def test_content_hashes(spark):
     shuffled = df.repartition(7, "b").orderBy(F.desc("a"))
     edited = df.withColumn("b", F.when(F.col("a") == 3, "edited").otherwise(F.col("b")))
     fewer = spark.createDataFrame(data[:-1], "a int, b string")
-    for form in (hashing.snapshot_hash, hashing.tree_hash):
+    for form in (hashing.snapshot_hash, hashing.multiset_hash):
         value = lambda frame: form(frame, ["a", "b"]).first()["content_hash"]
         assert value(df) == value(shuffled)
         assert value(df) != value(edited)
@@ -156,7 +156,7 @@ def test_content_hashes(spark):
         assert value(df.limit(0)) == "EMPTY"
     flat = hashing.content_hash(df, ["a", "b"]).first()
     assert flat == hashing.snapshot_hash(df, ["a", "b"]).first()
-    assert hashing.content_hash(df, ["a", "b"], tree=True).first() == hashing.tree_hash(df, ["a", "b"]).first()
+    assert hashing.content_hash(df, ["a", "b"], large=True).first() == hashing.multiset_hash(df, ["a", "b"]).first()
 
 
 def test_run_metrics(spark):
