@@ -47,34 +47,47 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, uniform: Column
         return (x + 1) * (n - k - m + x + 1) / ((k - x) * (m - x))
 
     def walk(values: Column, ratio, goal: Column) -> Column:
-        """Weights along ``values``, the mode having weight 1: their sum, and how many
-        values end below ``goal``."""
+        """Weights along ``values``, the mode having weight 1: their sum with the mode's, and
+        how many values end below ``goal``.  ``sum`` lags one value behind, so that a step
+        works out its ratio once."""
+        state = [F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), F.lit(-1).cast("long").alias("passed"), goal.alias("goal")]
+
+        def step(a: Column, w: Column) -> Column:
+            below = F.when(a["sum"] + a["w"] < a["goal"], 1).otherwise(0)
+            return F.struct(
+                w.alias("w"), (a["sum"] + a["w"]).alias("sum"), (a["passed"] + below).alias("passed"),
+                a["goal"].alias("goal"),
+            )
+
         return F.aggregate(
             values,
-            F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("passed")),
-            lambda a, x: F.struct(
-                (a["w"] * ratio(x.cast("double"))).alias("w"),
-                (a["sum"] + a["w"] * ratio(x.cast("double"))).alias("sum"),
-                (a["passed"] + F.when(a["sum"] + a["w"] * ratio(x.cast("double")) < goal, 1).otherwise(0)).alias("passed"),
-            ),
+            F.struct(*state),
+            lambda a, x: step(a, a["w"] * ratio(x.cast("double"))),
+            lambda a: step(a, F.lit(0.0)),
         )
 
     none = F.array().cast("array<long>")
     above = F.when(high > mode, F.sequence(mode + 1, high)).otherwise(none)
     below = F.when(mode > low, F.sequence(mode - 1, low, F.lit(-1).cast("long"))).otherwise(none)
-    nothing = F.lit(0.0)
-    over, under = walk(above, up, nothing)["sum"], walk(below, down, nothing)["sum"]
+
     # The values in the order mode, above, below; the first whose running sum reaches the goal.
-    goal = uniform * (1.0 + over + under)
-    drawn_above = mode + 1 + walk(above, up, goal - 1.0)["passed"]
-    drawn_below = mode - 1 - walk(below, down, goal - 1.0 - over)["passed"]
-    found = (
-        F.when(goal <= 1.0, mode)
-        .when((goal <= 1.0 + over) & (high > mode), F.least(high, drawn_above))
-        .when(mode > low, F.greatest(low, drawn_below))
-        .otherwise(F.least(high, drawn_above))
+    def found(sums: Column) -> Column:
+        goal = uniform * (sums["up"] + sums["down"] - 1.0)
+        over = F.least(high, mode + 1 + walk(above, up, goal)["passed"])
+        under = F.greatest(low, mode - 1 - walk(below, down, goal - sums["up"] + 1.0)["passed"])
+        return (
+            F.when(goal <= 1.0, mode)
+            .when((goal <= sums["up"]) & (high > mode), over)
+            .when(mode > low, under)
+            .otherwise(F.least(high, over))
+        )
+
+    sums = F.struct(
+        walk(above, up, F.lit(0.0))["sum"].alias("up"), walk(below, down, F.lit(0.0))["sum"].alias("down")
     )
-    return F.when(n <= 0, F.lit(0).cast("long")).otherwise(found)
+    # A lambda variable is worked out once, however often it is used.
+    drawn_number = F.transform(F.array(sums), found)[0]
+    return F.when(n <= 0, F.lit(0).cast("long")).otherwise(drawn_number)
 
 
 def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame:
