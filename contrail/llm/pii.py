@@ -22,7 +22,7 @@ from contrail.llm.common import free_name, prepare, text_parts, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bound of the labelled sample: stretches of text, those with the smallest hashes.
-SAMPLE_STRETCHES, STRETCH = 400, 96
+SAMPLE_STRETCHES, STRETCH = 240, 96
 WINDOW, STRIDE = 96, 48
 #: Windows for training start this far apart, so that a span is seen at many places.
 TRAIN_STRIDE = 24
