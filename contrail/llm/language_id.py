@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from contrail.llm.common import free_name, prepare, text_parts, whole_text
 
@@ -106,7 +106,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", margin: float
         raise ValueError(f"the input already has columns {sorted(clash)}")
     prepare(df.sparkSession)
     work = free_name(df, "_text")
-    schema = df.schema
+    schema = T.StructType(list(df.schema.fields))
     for name, kind in zip(added, ("string", "double", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
 

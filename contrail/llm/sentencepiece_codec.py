@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from contrail.llm.common import free_name, prepare, text_parts, whole_text
@@ -200,7 +200,7 @@ def encode_documents(
     prepare(df.sparkSession)
     work = free_name(df, "_text")
     holder = _read(model_file)
-    schema = df.schema.add("ids", "binary").add("offsets", "binary")
+    schema = T.StructType(list(df.schema.fields)).add("ids", "binary").add("offsets", "binary")
 
     def run(batches):
         codec = _codec(holder.digest, holder)
@@ -226,7 +226,7 @@ def decode_documents(df: DataFrame, model_file: str, ids_col: str = "ids", to: s
     prepare(df.sparkSession)
     holder = _read(model_file)
     work = free_name(df, "_ids")
-    schema = df.schema.add(to, "string")
+    schema = T.StructType(list(df.schema.fields)).add(to, "string")
 
     def run(batches):
         codec = _codec(holder.digest, holder)

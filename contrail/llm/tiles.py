@@ -73,7 +73,7 @@ def tile_pairs(
     small = sizes <= 32
     if small.any():
         group = np.repeat(np.arange(len(begin)), sizes)
-        place = np.arange(len(group)) + begin[0]
+        place = np.arange(len(group)) + (begin - np.cumsum(sizes) + sizes)[group]
         apart = i != j
         rows = place[small[group]]
         own = group[small[group]]

@@ -7,7 +7,7 @@ import functools
 
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from contrail.llm.common import free_name, prepare, text_parts, whole_text
 
@@ -31,7 +31,7 @@ def token_lengths(df: DataFrame, ranks_file: str, pattern: str, text_col: str =
     with open(ranks_file, encoding="ascii") as file:
         ranks = file.read()
     work = free_name(df, "_text")
-    schema = df.schema.add(to, "long")
+    schema = T.StructType(list(df.schema.fields)).add(to, "long")
 
     def run(batches):
         encoding = _encoding(ranks, pattern)
