@@ -18,6 +18,8 @@ from contrail.session import stage
 #: A draw looks this many standard deviations to each side: what lies beyond is below the
 #: smallest share that a double tells from nothing.
 REACH = 12.0
+#: Segments of a level that one task draws for; a level is a small table.
+TASK_SEGMENTS = 32
 #: Rows of a shard that are put in order together.
 BLOCK_ROWS = 20_000
 
@@ -110,6 +112,7 @@ def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame
         )
         left = sizes.filter("half % 2 = 0").select(F.shiftright("half", 1).alias("node"), "rows")
         both = tree.join(left, "node", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+        both = both.coalesce(max(1, 2 ** (level - 1) // TASK_SEGMENTS))
         # Shard by shard: of what is left of the segment, so much is this shard's.  Each draw
         # is a column of its own, so that no later one works it out again.
         both = both.withColumns(
