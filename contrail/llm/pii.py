@@ -38,6 +38,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_NUMBER_GOES_ON = re.compile(r"[0-9][0-9]")
 
 
 def luhn(digits: str) -> bool:
@@ -103,45 +104,50 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _lstm(codes: np.ndarray, chars: np.ndarray, recur: np.ndarray):
-    """States of one direction over ``codes`` (batch, length), with what training needs."""
-    size, (n, length) = recur.shape[0], codes.shape
-    h, c, kept = np.zeros((n, size)), np.zeros((n, size)), []
-    states = np.empty((length, n, size))
+    """States of both directions over ``codes`` (direction, batch, length), with what training needs."""
+    (ways, n, length), size = codes.shape, recur.shape[1]
+    given = np.stack([chars[w][codes[w].T] for w in range(ways)], axis=1)
+    h, c, kept = np.zeros((ways, n, size)), np.zeros((ways, n, size)), []
+    states = np.empty((length, ways, n, size))
     for t in range(length):
-        gates = chars[codes[:, t]] + h @ recur
-        i, f, o = (_sigmoid(gates[:, k * size : (k + 1) * size]) for k in range(3))
-        g = np.tanh(gates[:, 3 * size :])
+        gates = given[t] + h @ recur
+        open_ = _sigmoid(gates[..., : 3 * size])
+        i, f, o = open_[..., :size], open_[..., size : 2 * size], open_[..., 2 * size :]
+        g = np.tanh(gates[..., 3 * size :])
         before, c = c, f * c + i * g
         squashed = np.tanh(c)
-        kept.append((h, before, i, f, o, g, squashed))
+        kept.append((h, before, open_, g, squashed))
         h = o * squashed
         states[t] = h
-    return states.transpose(1, 0, 2), kept
+    return states.transpose(1, 2, 0, 3), kept
 
 
 def _lstm_back(codes, recur, kept, given):
     """Gradients of character rows and recurrence, for ``given`` on the states."""
-    size, (n, length) = recur.shape[0], codes.shape
-    d_chars, d_recur = np.zeros((128, 4 * size)), np.zeros_like(recur)
-    d_h, d_c = np.zeros((n, size)), np.zeros((n, size))
+    (ways, n, length), size = codes.shape, recur.shape[1]
+    d_h, d_c = np.zeros((ways, n, size)), np.zeros((ways, n, size))
+    ds, back = np.empty((ways, length, n, 4 * size)), recur.transpose(0, 2, 1)
     for t in range(length - 1, -1, -1):
-        h, before, i, f, o, g, squashed = kept[t]
-        d_h = d_h + given[:, t]
+        _, before, open_, g, squashed = kept[t]
+        i, f, o = open_[..., :size], open_[..., size : 2 * size], open_[..., 2 * size :]
+        d_h = d_h + given[:, :, t]
         d_c = d_c + d_h * o * (1 - squashed**2)
-        d = np.concatenate(
-            [d_c * g * i * (1 - i), d_c * before * f * (1 - f), d_h * squashed * o * (1 - o), d_c * i * (1 - g**2)], 1
-        )
-        np.add.at(d_chars, codes[:, t], d)
-        d_recur += h.T @ d
-        d_h, d_c = d @ recur.T, d_c * f
-    return d_chars, d_recur
+        d = ds[:, t]
+        d[..., : 3 * size] = np.concatenate([d_c * g, d_c * before, d_h * squashed], -1) * open_ * (1 - open_)
+        d[..., 3 * size :] = d_c * i * (1 - g**2)
+        d_h, d_c = d @ back, d_c * f
+    ds = ds.reshape(ways, length * n, 4 * size)
+    h = np.stack([k[0] for k in kept], axis=1).reshape(ways, length * n, size)
+    marks = np.zeros((ways, length * n, 128))
+    np.put_along_axis(marks, codes.transpose(0, 2, 1).reshape(ways, -1, 1), 1.0, axis=2)
+    return marks.transpose(0, 2, 1) @ ds, h.transpose(0, 2, 1) @ ds
 
 
 def _scores(net: Network, codes: np.ndarray):
-    right, kept_right = _lstm(codes, net.chars[0], net.recur[0])
-    left, kept_left = _lstm(codes[:, ::-1], net.chars[1], net.recur[1])
-    states = np.concatenate([right, left[:, ::-1]], axis=2)
-    return states @ net.out + net.bias, states, kept_right, kept_left
+    both = np.stack([codes, codes[:, ::-1]])
+    found, kept = _lstm(both, net.chars, net.recur)
+    states = np.concatenate([found[0], found[1][:, ::-1]], axis=2)
+    return states @ net.out + net.bias, states, both, kept
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -151,19 +157,29 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def _forward_backward(scores: np.ndarray, moves: np.ndarray, first: np.ndarray):
     """Tag probabilities (batch, length, tag), and the logs behind them."""
-    n, length, _ = scores.shape
+    length, chance = scores.shape[1], np.exp(moves)
     ahead, back = np.empty_like(scores), np.zeros_like(scores)
+
+    def through(x, ways):
+        top = x.max(axis=1, keepdims=True)
+        return top + np.log(np.exp(x - top) @ ways)
+
     ahead[:, 0] = scores[:, 0] + first
     for t in range(1, length):
-        ahead[:, t] = scores[:, t] + _log_sum(ahead[:, t - 1][:, :, None] + moves, 1)
+        ahead[:, t] = scores[:, t] + through(ahead[:, t - 1], chance)
     for t in range(length - 2, -1, -1):
-        back[:, t] = _log_sum(moves + (scores[:, t + 1] + back[:, t + 1])[:, None, :], 2)
+        back[:, t] = through(scores[:, t + 1] + back[:, t + 1], chance.T)
     whole = _log_sum(ahead[:, -1], 1)
     return np.exp(ahead + back - whole[:, None, None]), ahead, back, whole
 
 
+#: Letters begin alike, and what is learned of one counts for all: a sample need not hold every letter.
+_LETTERS = np.array([1, *range(65, 91), *range(97, 123)])
+
+
 def fit(windows: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS) -> Network:
-    """Train on windows of codes (n, length) with their tags, by Adam; the order is fixed by ``SEED``."""
+    """Train on windows of codes (n, length) with their tags, by Adam with a falling rate; the
+    order is fixed by ``SEED``."""
     rng = np.random.default_rng(SEED)
     moves = np.where(_ALLOWED, 0.0, _NO)
     first = np.zeros(TAGS)
@@ -173,23 +189,27 @@ def fit(windows: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS) -> Network:
         rng.normal(0, 0.2, (2 * HIDDEN, TAGS)), np.zeros(TAGS), moves, first,
     ]
     values[0][:, :, HIDDEN : 2 * HIDDEN] += 1  # remember at first
+    values[0][:, _LETTERS] = values[0][:, 97:98]
     mean, square, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
+    steps = epochs * -(-len(windows) // BATCH)
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]
             grads = _gradients(Network(*values), windows[some], tags[some])
+            grads[0][:, _LETTERS] += grads[0][:, _LETTERS].sum(axis=1, keepdims=True)
+            rate = RATE * min(1, 2.5 * (1 - step / steps))
             step += 1
             for k, g in enumerate(grads):
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 square[k] = 0.999 * square[k] + 0.001 * g * g
-                values[k] = values[k] - RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+                values[k] = values[k] - rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
     return Network(*values)
 
 
 def _gradients(net: Network, codes: np.ndarray, tags: np.ndarray) -> list[np.ndarray]:
     n, length = codes.shape
-    scores, states, kept_right, kept_left = _scores(net, codes)
+    scores, states, both, kept = _scores(net, codes)
     chance, ahead, back, whole = _forward_backward(scores, net.moves, net.first)
     rows, places = np.arange(n)[:, None], np.arange(length)[None, :]
     d_scores = chance.copy()
@@ -202,10 +222,10 @@ def _gradients(net: Network, codes: np.ndarray, tags: np.ndarray) -> list[np.nda
     d_first = d_scores[:, 0].sum(axis=0)
     d_first[2::2] = 0
     d_states = d_scores @ net.out.T
-    right = _lstm_back(codes, net.recur[0], kept_right, d_states[:, :, :HIDDEN])
-    left = _lstm_back(codes[:, ::-1], net.recur[1], kept_left, d_states[:, ::-1, HIDDEN:])
+    ways = np.stack([d_states[:, :, :HIDDEN], d_states[:, ::-1, HIDDEN:]])
+    d_chars, d_recur = _lstm_back(both, net.recur, kept, ways)
     d_out = states.reshape(-1, 2 * HIDDEN).T @ d_scores.reshape(-1, TAGS)
-    return [np.stack([right[0], left[0]]), np.stack([right[1], left[1]]), d_out, d_scores.sum(axis=(0, 1)), d_moves, d_first]
+    return [d_chars, d_recur, d_out, d_scores.sum(axis=(0, 1)), d_moves, d_first]
 
 
 def _tagged(length: int, spans: list[tuple[str, int, int]]) -> np.ndarray:
@@ -217,20 +237,13 @@ def _tagged(length: int, spans: list[tuple[str, int, int]]) -> np.ndarray:
     return tags
 
 
-def _variants(text: str, spans: list[tuple[str, int, int]]) -> tuple[str, list[tuple[str, int, int]]]:
+def _variants(text: str, spans: list[tuple[str, int, int]], form: int = 0) -> tuple[str, list[tuple[str, int, int]]]:
     """The stretch with every span in a form that the patterns miss, and the spans there."""
     out, moved, at = [], [], 0
     for kind, start, end in sorted(spans, key=lambda s: s[1]):
         if start < at:
             continue
-        value = text[start:end]
-        if kind == "phone":
-            value = re.sub(r"^\+[0-9]{1,3}[ .-]?(?=[(0-9])", "", value)
-        elif kind == "email":
-            value = value.replace("@", " @ ")
-        elif kind == "card":
-            digits = _NOT_DIGIT.sub("", value)
-            value = ".".join(digits[k : k + 4] for k in range(0, len(digits), 4))
+        value = _missed(kind, text[start:end], form)
         out.append(text[at:start])
         begin = sum(map(len, out))
         out.append(value)
@@ -240,12 +253,34 @@ def _variants(text: str, spans: list[tuple[str, int, int]]) -> tuple[str, list[t
     return "".join(out), moved
 
 
+#: Forms of every kind that the patterns miss.
+FORMS = 3
+
+
+def _missed(kind: str, value: str, form: int) -> str:
+    if kind == "email":
+        return value.replace("@", " @ ")
+    if kind == "ip":
+        return value.replace(".", (" . ", "[.]", "(.)")[form])
+    if kind == "card":
+        digits = _NOT_DIGIT.sub("", value)
+        if form == 0:
+            return ".".join(digits[k : k + 4] for k in range(0, len(digits), 4))
+        short = next(d for d in (f"{digits[:14]}{c}" for c in range(10)) if luhn(d))
+        return short if form == 1 else f"{short[:4]} {short[4:10]} {short[10:]}"
+    national = re.sub(r"^\+[0-9]{1,3}[ .-]?(?=[(0-9])", "", value)
+    if form == 0:
+        return national
+    groups = [g for g in _NOT_DIGIT.split(national if form == 2 else value) if g]
+    return "-".join(groups) if form == 1 else f"0{' '.join(groups)}"
+
+
 def labelled_windows(stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Windows and tags of stretches of text and of their variants, padded with blanks."""
     codes, tags = [], []
     for stretch in stretches:
         spans = [(k, a, b) for k, a, b, ok in _settled(base_matches(stretch)) if ok]
-        for text, own in ((stretch, spans), *([_variants(stretch, spans)] if spans else [])):
+        for text, own in ((stretch, spans), *(_variants(stretch, spans, k) for k in range(FORMS if spans else 0))):
             padded = _codes(text.ljust(2 * STRETCH))
             tag = _tagged(len(padded), own)
             for a in range(0, min(len(text), len(padded) - WINDOW + 1), TRAIN_STRIDE):
@@ -341,9 +376,12 @@ _SHAPE = {"email": re.compile(r"(?s)[A-Za-z0-9].*@.*[A-Za-z0-9]")} | dict.fromke
 
 
 def _edges(kind: str, text: str, start: int, end: int) -> tuple[int, int] | None:
-    """The span without blanks and letters at its ends; none if its digits make no such value."""
+    """The span without blanks and letters at its ends; none if its digits make no such value
+    or are cut out of a longer number."""
     found = _SHAPE[kind].search(text, start, end)
-    if not found:
+    if not found or (kind != "email" and _NUMBER_GOES_ON.search(text[max(0, found.start() - 1) : found.start() + 1])):
+        return None
+    if kind != "email" and _NUMBER_GOES_ON.search(text[found.end() - 1 : found.end() + 1]):
         return None
     digits = _NOT_DIGIT.sub("", found.group())
     parts = [p for p in _NOT_DIGIT.split(found.group()) if p]
@@ -380,22 +418,25 @@ def _read(path: np.ndarray) -> list[tuple[str, int, int]]:
     return spans
 
 
+def _blocks(match: tuple[str, int, int, bool], kind: str, start: int, end: int) -> bool:
+    own, first, last, valid = match
+    if end <= first or last <= start or not (valid or own == kind):
+        return False
+    return valid or kind != "card" or first < start or end < last
+
+
 def personal_spans(net: Network | None, texts: list[str]) -> list[list[tuple[str, int, int, bool]]]:
     """Base spans and those that the network adds, by kind and start.
 
-    An added span touches no pattern match, valid or not: what a pattern rejects stays
-    rejected."""
+    An added span touches no valid match and no failed one of its own kind; only a card may
+    hold failed card matches whole, as its groups between dots and 13 to 15 digits are such."""
     marked = [i for i, t in enumerate(texts) if _SIGN.search(t)]
     matches = {i: base_matches(texts[i]) for i in marked}
     added = dict(zip(marked, decode(net, [texts[i] for i in marked]), strict=True)) if net and marked else {}
     result: list[list[tuple[str, int, int, bool]]] = [[] for _ in texts]
     for i in marked:
         own = matches[i]
-        # Single digits and short runs are pattern matches too; they block nothing unless they failed as a whole value.
-        blocking = [m for m in own if m[3] or m[2] - m[1] > 12]
-        extra = [
-            (k, a, b, False) for k, a, b in added.get(i, []) if all(b <= m[1] or m[2] <= a for m in blocking)
-        ]
+        extra = [(*span, False) for span in added.get(i, []) if not any(_blocks(m, *span) for m in own)]
         spans = [(k, a, b, True) for k, a, b, ok in own if ok] + extra
         result[i] = sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
     return result

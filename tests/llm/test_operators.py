@@ -177,6 +177,44 @@ def test_network_adds_what_the_patterns_miss(network):
     assert any(k == "email" and not base for k, _, _, base in spans[3])
 
 
+def with_cards():
+    """The made stretches, and as many with cards: most numbers of the kind pass, some fail."""
+    rng = np.random.default_rng(7)
+    rows = made_stretches()
+    for k in range(90):
+        digits = "4" + "".join(map(str, rng.integers(0, 10, 14)))
+        digits = next(f"{digits}{c}" for c in range(10) if pii.luhn(f"{digits}{c}"))
+        groups = [digits[at : at + 4] for at in range(0, 16, 4)]
+        rows.append(f"paid by {('', ' ', '-')[k % 3].join(groups)} in the shop {rng.choice(['today', 'late'])}")
+    return rows
+
+
+def test_failed_matches_of_other_kinds_block_nothing():
+    net = pii.fit(*pii.labelled_windows(with_cards()))
+    wanted = [
+        ("card", "4111.1111.1111.1111"), ("card", "378282246310005"), ("card", "3782 822463 10005"),
+        ("phone", "020 7946 0958"), ("phone", "1-555-123-4567"), ("ip", "10[.]20[.]30[.]255"),
+    ]
+    texts = [f"paid by {value} in the shop today" for _, value in wanted]
+    found = pii.personal_spans(net, texts)
+    assert [[(k, t[a:b]) for k, a, b, _ in own] for t, own in zip(texts, found, strict=True)] == [[w] for w in wanted]
+    # What fails as a whole card stays rejected, and no span is cut out of a longer number.
+    for value in ("4111 1111 1111 1112", "4111111111111112", "41111111111111111111", "378282246310006"):
+        assert not any(k == "card" for k, *_ in pii.personal_spans(net, [f"paid by {value} in the shop today"])[0])
+
+
+def test_what_blocks_an_added_span(monkeypatch):
+    text = "a 4111.1111.1111.1111 b 10.0.0.255 c 4111 1111 1111 1112 d +1 23 e"
+    at = lambda value: (text.index(value), text.index(value) + len(value))
+    added = [
+        ("card", *at("4111.1111.1111.1111")), ("phone", *at("10.0.0.255")), ("card", *at("1111 1111 1112")),
+        ("phone", *at("+1 23")),
+    ]
+    monkeypatch.setattr(pii, "decode", lambda net, texts: [added])
+    spans = pii.personal_spans(True, [text])[0]
+    assert spans == [("ip", *at("10.0.0.255"), True), ("card", *at("4111.1111.1111.1111"), False)]
+
+
 def test_windows_agree_over_a_long_text(network):
     one = "call me at (274) 555-2202 or so and then " + "some other words " * 9
     text = one * 100
