@@ -10,19 +10,22 @@ span could come of it."""
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import itertools
 import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.llm.common import free_name, prepare, text_parts, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the labelled sample: stretches of text, those with the smallest hashes.
-SAMPLE_STRETCHES, STRETCH = 240, 96
+#: Bound of the labelled sample: stretches of text that hold a span, over all kinds in equal
+#: shares, and stretches that hold none.  They are those with the smallest hashes.
+SAMPLE_STRETCHES, SAMPLE_WITHOUT, STRETCH = 240, 120, 96
 WINDOW, STRIDE = 96, 48
 #: Windows for training start this far apart, so that a span is seen at many places.
 TRAIN_STRIDE = 24
@@ -302,29 +305,64 @@ def _settled(matches: list[tuple[str, int, int, bool]]) -> list[tuple[str, int,
     return taken
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stretches: int = SAMPLE_STRETCHES) -> Network | None:
-    """A network from at most ``stretches`` stretches around digits and ``@`` signs.
+def train(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stretches: int = SAMPLE_STRETCHES,
+    without: int = SAMPLE_WITHOUT,
+) -> Network | None:
+    """A network from a bounded sample of stretches around digits and ``@`` signs.
 
-    They are those with the smallest hashes of all in ``df``.  Without any there is no
-    network, and the patterns stand alone."""
+    Of every kind, the ``stretches / 4`` stretches that hold a valid match of it and have the
+    smallest hashes, and the first ``without`` of those that hold none: how rare a kind is
+    does not matter.  Without any match there is no network, and the patterns stand alone."""
     prepare(df.sparkSession)
+    limits = dict.fromkeys(KINDS, -(-stretches // len(KINDS))) | {"": without}
 
     def run(batches):
-        for batch, texts in text_parts(batches, "t"):
-            found = []
+        least = {kind: _Smallest(limit) for kind, limit in limits.items()}
+        for _, texts in text_parts(batches, "t"):
             for text in texts:
                 at = 0
                 while m := _SIGN.search(text, at):
-                    found.append(text[max(0, m.start() - STRETCH // 2) : m.start() + STRETCH])
+                    stretch = text[max(0, m.start() - STRETCH // 2) : m.start() + STRETCH]
                     at = m.start() + STRETCH
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["stretch"])
-
-    around = df.select(whole_text(text_col).alias("t")).filter(F.col("t").rlike("[0-9@]")).mapInArrow(run, "stretch string")
-    chosen = around.distinct().orderBy(F.xxhash64("stretch"), "stretch").limit(stretches).collect()
-    windows, tags = labelled_windows([r["stretch"] for r in chosen])
+                    mark = int.from_bytes(hashlib.blake2b(stretch.encode(), digest_size=8).digest(), "big", signed=True)
+                    if any(own.takes(mark) for own in least.values()):
+                        for kind in {k for k, _, _, ok in _settled(base_matches(stretch)) if ok} or {""}:
+                            least[kind].add(mark, stretch)
+        rows = [(kind, mark, stretch) for kind, own in least.items() for mark, stretch in own.kept.items()]
+        columns = zip(*rows, strict=True) if rows else ((), (), ())
+        kinds = (pa.string(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["kind", "mark", "stretch"])
+
+    # Every task names its smallest; those of the whole are among them.
+    texts = df.select(whole_text(text_col).alias("t")).filter(F.col("t").rlike("[0-9@]"))
+    named = texts.mapInArrow(run, "kind string, mark long, stretch string").distinct()
+    order = Window.partitionBy("kind").orderBy("mark", "stretch")
+    limit = F.when(F.col("kind") == "", limits[""]).otherwise(limits[KINDS[0]])
+    chosen = named.withColumn("n", F.row_number().over(order)).filter((F.col("n") <= max(limits.values())) & (F.col("n") <= limit))
+    sample = sorted({(r["mark"], r["stretch"]) for r in chosen.select("mark", "stretch").collect()})
+    windows, tags = labelled_windows([stretch for _, stretch in sample])
     return fit(windows, tags) if tags.any() else None
 
 
+class _Smallest:
+    """At most ``limit`` stretches, those with the smallest marks."""
+
+    def __init__(self, limit: int):
+        self.limit, self.kept, self._heap = limit, {}, []
+
+    def takes(self, mark: int) -> bool:
+        return mark not in self.kept and (len(self._heap) < self.limit or (self.limit and mark < -self._heap[0]))
+
+    def add(self, mark: int, stretch: str) -> None:
+        if not self.takes(mark):
+            return
+        self.kept[mark] = stretch
+        heapq.heappush(self._heap, -mark)
+        if len(self._heap) > self.limit:
+            del self.kept[-heapq.heappop(self._heap)]
+
+
 #: A window counts for a character by its distance from the window's nearer end.
 _WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1))[:, None] ** 2.0
 

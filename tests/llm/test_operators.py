@@ -215,6 +215,22 @@ def test_what_blocks_an_added_span(monkeypatch):
     assert spans == [("ip", *at("10.0.0.255"), True), ("card", *at("4111.1111.1111.1111"), False)]
 
 
+def test_rare_kinds_are_learned(spark, monkeypatch):
+    """One stretch in a hundred holds a span; the sample has all kinds nonetheless."""
+    made = [s for s in made_stretches() if any(m[3] for m in pii.base_matches(s))]
+    rows = [(k, made[k // 100] if k % 100 == 0 else f"in the year {k} it cost {k * 7} or so") for k in range(10_000)]
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda windows, tags: seen.append((windows, tags)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pii.train(df, stretches=40, without=20)
+    pii.train(df.repartition(3), stretches=40, without=20)
+    (windows, tags), again = seen
+    assert {pii.KINDS[(t - 1) // 2] for t in set(tags.ravel()) - {0}} == {"email", "ip", "phone"}
+    assert (windows == again[0]).all() and (tags == again[1]).all()
+    # Ten stretches of each kind in four forms, and twenty without a span in one.
+    assert len(windows) <= (30 * (1 + pii.FORMS) + 20) * 5
+
+
 def test_windows_agree_over_a_long_text(network):
     one = "call me at (274) 555-2202 or so and then " + "some other words " * 9
     text = one * 100
