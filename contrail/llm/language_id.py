@@ -21,6 +21,9 @@ UNDECIDED = "und"
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2_000, 112_640
 #: A text is compressed in blocks, so that it leans on the dictionary and not on itself.
 BLOCK_BYTES, LEVEL = 512, 6
+#: A text of one block is measured behind this, by what it adds: alone, a short one is stored
+#: raw under every dictionary.  Words hold no digits, so the filler meets none.
+FILLER, SHORTEST_MATCH = b"0" * BLOCK_BYTES, 3
 #: The best size must be this share smaller than the second; else the text is rejected.
 MARGIN = 0.01
 _WORD = re.compile(r"[^\W\d_]+")
@@ -71,20 +74,32 @@ class _Sizes:
 
     def __init__(self, model: Model):
         self._languages = model.languages
-        self._by = []
+        self._by, self._short, self._filler = [], [], []
+        options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
         for content in model.contents:
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(level=LEVEL)
-            options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
             self._by.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, **options).compress)
+            finer = zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, source_size=2 * BLOCK_BYTES, dict_size=len(content), min_match=SHORTEST_MATCH,
+                strategy=zstandard.STRATEGY_BTOPT, **options,
+            )
+            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            dictionary.precompute_compress(compression_params=finer)
+            self._short.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=finer).compress)
+            self._filler.append(len(self._short[-1](FILLER)))
 
     def best(self, text: str) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and the share by which the best is smaller than the second."""
         raw = words(text)
         if not self._languages or not raw:
             return UNDECIDED, 0.0, 0.0
-        blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
-        sizes = [sum(len(compress(b)) for b in blocks) for compress in self._by]
+        if len(raw) <= BLOCK_BYTES:
+            text = b"%b %b " % (FILLER, raw)
+            sizes = [len(compress(text)) - alone for compress, alone in zip(self._short, self._filler, strict=True)]
+        else:
+            blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
+            sizes = [sum(len(compress(b)) for b in blocks) for compress in self._by]
         if len(sizes) == 1:
             return self._languages[0], 1.0, 1.0
         order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
@@ -96,8 +111,9 @@ class _Sizes:
 def identify(df: DataFrame, model: Model, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """Add ``lang_pred``, ``score``, ``margin`` and ``rejected``.
 
-    ``lang_pred`` is the language whose dictionary makes the whole text smallest (ties: the
-    first by name); ``und`` for null, for texts without a letter and for an empty model.
+    ``lang_pred`` is the language whose dictionary makes the whole text smallest (ties, as of
+    a word that no dictionary or each one holds: the first by name, rejected); ``und`` for
+    null, for texts without a letter and for an empty model.
     ``score`` grows from 0 to 1 with the margin and is 0.5 at ``MARGIN``.  ``rejected``: it
     is ``und`` or the margin is below ``margin``.  Other columns pass through, clashing
     names fail; each row is judged alone by its text, without a shuffle."""

@@ -367,6 +367,31 @@ def test_language_of_awkward_rows(spark, awkward, nothing):
     assert language_id.identify(nothing, none).count() == 0
 
 
+def test_language_of_short_texts(spark):
+    """Texts of 10 to 100 bytes, of words that only their language has, and of its letters."""
+    rng = np.random.default_rng(8)
+    parts = {
+        "de": ["sch", "ung", "der", "heit", "ein", "chen", "ber"], "en": ["the", "ing", "tion", "wh", "ough", "ly", "ed"],
+        "es": ["ción", "ado", "que", "los", "mente", "rra", "illo"], "fr": ["eau", "oux", "ment", "que", "elle", "aux", "oir"],
+    }
+    vocabulary = {n: ["".join(rng.choice(p, rng.integers(1, 4))) for _ in range(150)] for n, p in parts.items()}
+    text = lambda n, k: " ".join(rng.choice(vocabulary[n], k))
+    rows = [(i, text(n, 120), n) for i, n in enumerate(sorted(parts) * 40)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    sizes = language_id._Sizes(model)
+    for least, share in ((10, 0.6), (20, 0.9), (40, 0.97), (70, 0.97), (100, 0.97)):
+        for n in parts:
+            found = []
+            for _ in range(60):
+                words = text(n, 40).split()
+                short = words[0]
+                while len(short.encode()) < least:
+                    short += " " + words.pop()
+                best, _, margin = sizes.best(short)
+                found.append(best == n and margin >= language_id.MARGIN)
+            assert sum(found) >= share * len(found), (n, least, sum(found))
+
+
 # Near copies
 
 
