@@ -1,9 +1,10 @@
 """Best-fit packing into sequences of fixed length, in rounds of a tree.
 
-Each partition packs its items best-fit, largest first.  Nearly full bins are done; the
-others go on as items of a round with an eighth of the partitions.  The rounds end when
-one no longer lowers the number of bins.  A bin carries its items, at most as many as it
-has tokens, so no round joins anything back."""
+Each partition first packs its items where they are, best-fit, largest first.  Nearly full
+bins are done and written once; only the items of the others are shuffled and packed in
+rounds, where nearly full bins are done again and the others go on as items of a round with
+an eighth of the partitions.  The rounds end when one no longer lowers the number of bins.
+A bin carries its items with all their columns, so no round joins anything back."""
 
 from __future__ import annotations
 
@@ -15,12 +16,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from contrail.llm.common import free_name, prepare, text_parts, whole_text
+from contrail.llm.common import BATCH_ROWS, free_name, prepare, text_parts, whole_text
 from contrail.llm.word_codec import WordCodec
-from contrail.session import stage
+from contrail.session import discard, stage
 
 #: Items that a task packs at once, and partitions that meet in one of the next round.
 BLOCK_ITEMS, FAN_IN = 50_000, 8
+#: Tokens that a task packs at once, as items may carry them, and the bins that a block must
+#: fill at least to be packed before it meets others.
+BLOCK_TOKENS, LEAST_BINS = 8 << 20, 256
 #: A bin with at most this share of room left is nearly full.
 SLACK = 1 / 512
 
@@ -49,9 +53,8 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _pack_block(used: np.ndarray, members: pa.ListArray, capacity: int) -> tuple[np.ndarray, pa.ListArray]:
+def _pack_block(used: np.ndarray, members: pa.ListArray, bins: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
     """Bins of a block: tokens used, and the items one after the other."""
-    bins = best_fit(used, capacity)
     order = np.argsort(bins, kind="stable")
     taken = members.take(pa.array(order))
     lengths = np.asarray(pa.compute.list_value_length(taken)).astype(np.int64)
@@ -62,34 +65,49 @@ def _pack_block(used: np.ndarray, members: pa.ListArray, capacity: int) -> tuple
     return total, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
 
 
+def _nearly_full(used: np.ndarray, members: pa.ListArray, capacity: int, near: int) -> tuple[np.ndarray, pa.ListArray]:
+    """Bins of a block as far as they are nearly full, then the other items each alone."""
+    if used.sum() < LEAST_BINS * capacity:
+        return _pack_block(used, members, np.arange(len(used)))
+    bins = best_fit(used, capacity)
+    full = np.bincount(bins, weights=used)[bins] >= near
+    bins[~full] = len(used) + np.arange(len(used) - full.sum())
+    return _pack_block(used, members, np.unique(bins, return_inverse=True)[1])
+
+
 def _round(bins: DataFrame, capacity: int, number: int) -> DataFrame:
     """One round: bins in, fewer bins out, each with a number of its own."""
     near = capacity - int(capacity * SLACK)
 
     def run(batches):
-        task, made, waiting, rows = TaskContext.get().partitionId(), 0, [], 0
+        task, made, waiting, rows, tokens = TaskContext.get().partitionId(), 0, [], 0, 0
 
         def packed():
             nonlocal made
             table = pa.Table.from_batches(waiting).combine_chunks()
             used = table.column("used").to_numpy()
             members = table.column("members").chunk(0)
-            total, joined = _pack_block(used, members, capacity)
+            if number:
+                total, joined = _pack_block(used, members, best_fit(used, capacity))
+            else:
+                total, joined = _nearly_full(used, members, capacity, near)
             ids = (number << 56) + (task << 32) + made + np.arange(len(total))
             made += len(total)
-            return pa.RecordBatch.from_arrays(
+            whole = pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(total, pa.int64()), pa.array(total < near), joined],
                 ["bin", "used", "open", "members"],
             )
+            return [whole.slice(k, BATCH_ROWS) for k in range(0, whole.num_rows, BATCH_ROWS)]
 
         for batch in batches:
             waiting.append(batch)
             rows += batch.num_rows
-            if rows >= BLOCK_ITEMS:
-                yield packed()
-                waiting, rows = [], 0
+            tokens += pa.compute.sum(batch.column("used")).as_py() or 0
+            if rows >= BLOCK_ITEMS or tokens >= BLOCK_TOKENS:
+                yield from packed()
+                waiting, rows, tokens = [], 0, 0
         if rows:
-            yield packed()
+            yield from packed()
 
     members = bins.schema["members"].dataType
     schema = T.StructType().add("bin", "long").add("used", "long").add("open", "boolean").add("members", members)
@@ -102,7 +120,8 @@ def pack(items: DataFrame, length_col: str, capacity: int) -> DataFrame:
 
     Sequence numbers are unique, not consecutive.  Null lengths count as 0; a length over
     ``capacity`` or below 0 fails.  Repeated rows are items of their own.  No items: no rows.
-    Shuffles the items once; what is not nearly full is shuffled again in each round."""
+    All columns are carried, and written twice.  What is not nearly full in its partition is shuffled, and again
+    in each round."""
     for name in ("sequence_id", "offset"):
         if name in items.columns:
             raise ValueError(f"the input already has a column {name}")
@@ -112,23 +131,32 @@ def pack(items: DataFrame, length_col: str, capacity: int) -> DataFrame:
     checked = F.when(
         size.between(0, capacity), size
     ).otherwise(F.raise_error(F.lit(f"an item is longer than {capacity} or shorter than 0")).cast("long"))
-    first, _ = stage(items.select(checked.alias("used"), F.array(member).alias("members")), "pack-items")
-    open_, number, done, before = first, 0, [], first.count()
-    width = max(1, math.ceil(before / BLOCK_ITEMS))
-    while True:
+    # Staged, so that what makes the items and what packs them are not in one task's memory.
+    alone, path = stage(items.select(checked.alias("used"), F.array(member).alias("members")), "pack-items")
+    bins, _ = stage(_round(alone, capacity, 0), "pack-first")
+    discard(spark, path)
+    done, open_, number = [bins.filter(~F.col("open"))], bins.filter("open"), 1
+    before, width = _extent(open_)
+    while before:
         bins, _ = stage(_round(open_.repartition(width), capacity, number), "pack-round")
         done.append(bins.filter(~F.col("open")))
         rest = bins.filter("open")
-        after = rest.count()
-        if after <= 1 or (number and after >= before) or (width == 1 and before <= BLOCK_ITEMS):
+        after, needed = _extent(rest)
+        if after <= 1 or (number > 1 and after >= before) or width == 1:
             done.append(rest)
             break
         open_, before, number = rest, after, number + 1
-        width = max(1, math.ceil(after / BLOCK_ITEMS), math.ceil(width / FAN_IN) if after > BLOCK_ITEMS else 1)
+        width = max(needed, math.ceil(width / FAN_IN) if needed > 1 else 1)
     all_bins = functools.reduce(DataFrame.unionByName, done)
     return _places(all_bins, items.schema, length_col)
 
 
+def _extent(bins: DataFrame) -> tuple[int, int]:
+    """Number of bins, and how many tasks they are for."""
+    row = bins.agg(F.count(F.lit(1)).alias("n"), F.sum("used").alias("tokens")).first()
+    return row["n"], max(1, math.ceil(row["n"] / BLOCK_ITEMS), math.ceil((row["tokens"] or 0) / BLOCK_TOKENS))
+
+
 def _places(bins: DataFrame, schema: T.StructType, length_col: str) -> DataFrame:
     """One row per item, with its sequence and its place there."""
     out = T.StructType(schema.fields).add("sequence_id", "long").add("offset", "long")

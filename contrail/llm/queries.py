@@ -46,14 +46,19 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(documents: DataFrame) -> DataFrame:
-    """Pieces of the documents with their sequences, as ``op2`` returns them."""
+    """Pieces of the documents with their sequences and their token ids.
+
+    The ids of a sequence are those of its pieces in the order of ``offset``."""
     pieces = packing.cut_documents(documents, public_tokenizers.path("word_bpe_49k.json"), CONTEXT, end_id=1)
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(narrow, "length", CONTEXT)
+    packed = packing.pack(pieces, "length", CONTEXT)
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids"
+    )
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_documents(spark, sf_dir))
+    """The packed pieces by the digest of their ids; the ids themselves are in the staged sequences."""
+    return pack_documents(_documents(spark, sf_dir)).drop("ids")
 
 
 def op3_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

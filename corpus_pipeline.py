@@ -35,7 +35,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents in sequences of fixed length."""
+    """Token pieces of the documents in sequences of fixed length, with their ids."""
     return pack_documents(docs)
 
 

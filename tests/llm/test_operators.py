@@ -44,6 +44,22 @@ def test_pack_in_rounds(spark, monkeypatch):
     assert len(places) <= 1.1 * sum(r.n for r in rows) / 100
 
 
+def test_pack_carries_what_the_items_hold(spark):
+    """Filled where they are or shuffled, all items keep their bytes, and sequences are gapless."""
+    items = spark.range(0, 20_000, 1, 2).select((F.col("id") * 37 % 100 + 1).alias("n"), "id")
+    items = items.withColumn("ids", F.expr("cast(repeat(char(65 + id % 26), cast(n as int)) as binary)"))
+    rows = packing.pack(items, "n", 100).collect()
+    assert sorted(r.id for r in rows) == list(range(20_000))
+    assert all(r.ids == bytes([65 + r.id % 26]) * r.n for r in rows)
+    sequences = defaultdict(bytes)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert len(sequences[r.sequence_id]) == r.offset
+        sequences[r.sequence_id] += r.ids
+    assert max(map(len, sequences.values())) <= 100
+    assert len(sequences) <= 1.01 * sum(r.n for r in rows) / 100
+    assert packing.LEAST_BINS * 100 < sum(r.n for r in rows) / 2
+
+
 def test_pack_ends_without_gain_and_refuses(spark):
     same = spark.range(300).select("id", F.lit(60).alias("n"))
     assert packing.pack(same, "n", 100).select("sequence_id").distinct().count() == 300

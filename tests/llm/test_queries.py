@@ -9,6 +9,7 @@ from pathlib import Path
 
 import brute
 import duckdb
+import numpy as np
 import pytest
 
 from contrail.llm.queries import ORACLE, QUERIES
@@ -167,3 +168,15 @@ def test_pipeline(spark, documents):
     rows = corpus_pipeline.run(spark, str(SAMPLES)).collect()
     assert {r.doc_id for r in rows} == set(clean)
     check_sequences(rows)
+
+
+def test_packed_documents_keep_their_tokens(spark, documents):
+    from contrail.llm.queries import pack_documents
+
+    docs = spark.read.parquet(f"{SAMPLES}/documents.parquet")
+    tokens = defaultdict(list)
+    for r in sorted(pack_documents(docs).collect(), key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        tokens[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    for i, (text, _) in documents.items():
+        assert tokens[i] == [*brute.TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
