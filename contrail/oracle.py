@@ -657,15 +657,7 @@ ORACLE: dict[str, str] = {
     "dow_both": """
         select o_orderkey, cast(isodow(o_orderdate) - 1 as int) as dow_monday_0,
           cast(dayofweek(o_orderdate) + 1 as int) as dow_sunday_1 from orders""",
-    "block_time": """
-        select sha256(concat_ws('|', 'P' || l_partkey,
-            case when c_nationkey % 5 <> 4 then 'N' || lpad(cast(c_nationkey as varchar), 3, '0') else '' end,
-            case when s_nationkey % 7 <> 6 then 'N' || lpad(cast(s_nationkey as varchar), 3, '0') else '' end,
-            cast(cast(epoch(o_orderdate) as bigint) as varchar),
-            cast(cast(epoch(l_shipdate) as bigint) as varchar))) as flight_id,
-          cast(date_diff('second', o_orderdate, l_shipdate) as int) as block_time_s
-        from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
-          join supplier on l_suppkey = s_suppkey""",
+    "block_time": _sql(["legs", "clean_legs"], "select flight_id, block_time_s from clean_legs"),
     "dim_dates": """
         select date, cast(isodow(date) - 1 as tinyint) as dow, cast(week(date) as int) as week,
           strftime(date, '%Y-%m') as month, cast(quarter(date) as int) as quarter,
