@@ -15,6 +15,7 @@ from contrail.llm import (
     sharding,
     token_counts,
     topk,
+    treap_search,
     vectors,
 )
 from contrail.session import stage
@@ -120,6 +121,11 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op11_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return treap_search.rank_documents(_documents(spark, sf_dir).select("doc_id", "text"), items, k=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -130,7 +136,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_best_fit_packing, op3_hypergeometric_shards, op4_personal_data, op5_near_vectors,
-        op6_interpolated_scores, op7_token_counts, op8_language, op9_bag_minhash, op10_exact_top_k, pipeline,
+        op6_interpolated_scores, op7_token_counts, op8_language, op9_bag_minhash, op10_exact_top_k, op11_treap_search,
+        pipeline,
     )
 }
 
@@ -153,4 +160,35 @@ ORACLE = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 20
     """,
+    "op11_treap_search": r"""
+        with words as (
+            select doc_id, row_number() over () as d,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents where text is not null
+        ),
+        whole as (select *, len(terms)::bigint as n from words where len(terms) > 0),
+        total as (select count(*)::bigint as big_n, sum(n)::bigint as l from whole),
+        counts as (select d, doc_id, n, term, count(*)::bigint as tf from (select d, doc_id, n, unnest(terms) as term from whole) group by all),
+        weights as (
+            select term, floor(1000 * ln((2 * big_n + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from counts, total group by term, big_n
+        ),
+        asked as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark where text is not null and item_id is not null
+        ),
+        scored as (
+            select item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // l))))::bigint as score
+            from asked join weights using (term) join counts using (term), total
+            group by item_id, d, doc_id
+        ),
+        ranked as (
+            select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank
+            from scored where score > 0 and doc_id is not null
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 50
+    """,
 }
