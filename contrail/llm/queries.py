@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.llm import (
+    hard_negatives,
     language_id,
     language_model,
     minhash,
@@ -15,6 +16,7 @@ from contrail.llm import (
     sharding,
     token_counts,
     topk,
+    toxicity,
     treap_search,
     vectors,
 )
@@ -126,6 +128,22 @@ def op11_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treap_search.rank_documents(_documents(spark, sf_dir).select("doc_id", "text"), items, k=50)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(language_id.fold("doc_id", 5) != 0)
+    scored = toxicity.score_documents(documents, toxicity.train(documents, labels))
+    held_out = F.coalesce(language_id.fold("doc_id", 5) == 0, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _embeddings(spark, sf_dir).withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, scale=256.0, positives=5, negatives=3)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -137,7 +155,7 @@ QUERIES = {
     for f in (
         op1_sentencepiece, op2_best_fit_packing, op3_hypergeometric_shards, op4_personal_data, op5_near_vectors,
         op6_interpolated_scores, op7_token_counts, op8_language, op9_bag_minhash, op10_exact_top_k, op11_treap_search,
-        pipeline,
+        op12_toxicity, op13_hard_negatives, pipeline,
     )
 }
 
@@ -191,4 +209,29 @@ ORACLE = {
         )
         select item_id, rank, doc_id, score from ranked where rank <= 50
     """,
+    "op13_hard_negatives": """
+        with whole as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and vec_id is not null and label is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+                   list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+            from whole a join whole c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id and len(a.v) = len(c.v)
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ),
+        ranked as (
+            select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                   row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+            from positives join scored using (anchor_id)
+            where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        )
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+    """,
 }
