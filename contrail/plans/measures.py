@@ -14,8 +14,6 @@ from contrail.operators.quality import freshness_lag as _freshness
 from contrail.operators.quantiles import exact_quantiles
 from contrail.operators.topk import top_n
 
-# One bin per minute of block time.
-BLOCK_TIME_BIN_S = 60.0
 ROLES = ("dep", "arr")
 
 
@@ -137,7 +135,7 @@ def top_airlines(flights: DataFrame, n: int = 10) -> DataFrame:
 
 def block_time_quantiles(flights: DataFrame, qs: Sequence[float] = (0.25, 0.5, 0.75, 0.95)) -> DataFrame:
     """KPI-05, KPI-16: interpolated quantiles of block time in minutes."""
-    quantiles = exact_quantiles(flights, "block_time_s", qs, BLOCK_TIME_BIN_S)
+    quantiles = exact_quantiles(flights, "block_time_s", qs)
     return quantiles.select("q", _minutes("value").alias("block_time_min"))
 
 

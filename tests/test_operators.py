@@ -9,10 +9,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from contrail.operators import dedupe, enrich, hashing, merge, project, quality, rollup, skew, topk
+from contrail.operators import dedupe, enrich, hashing, merge, project, quality, quantiles, rollup, skew, topk
 from contrail.operators.enrich import Dimension
 from contrail.operators.quantiles import exact_quantiles
 from contrail.plans import gold, measures, silver
+from contrail.session import stage
 
 RUN = datetime(2024, 2, 1, tzinfo=timezone.utc)
 SMALL = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -136,11 +137,37 @@ def test_quantiles_with_most_rows_equal(spark):
     random.seed(1)
     values = [0.0] * 400 + [random.uniform(-50, 900) for _ in range(800)]
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
-    got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", [0.1, 0.33, 0.9], bin_width=60).collect()}
+    got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", [0.1, 0.33, 0.9]).collect()}
     assert got == pytest.approx({q: float(np.quantile(values, q)) for q in (0.1, 0.33, 0.9)})
     assert exact_quantiles(df.where("x > 1e9"), "x", [0.5]).count() == 0
 
 
+@pytest.mark.parametrize("small", [3, 50])
+def test_quantiles_of_real_values_in_one_bin(spark, monkeypatch, small):
+    """Brackets narrowed several times: values between 0 and 1, all different but a hot one, by group."""
+    monkeypatch.setattr(quantiles, "SMALL_BRACKET", small)
+    monkeypatch.setattr(quantiles, "GROUP_ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "CUTS", 4)
+    rng = random.Random(3)
+    values = {g: [rng.random() for _ in range(n)] + [0.5] * (n // 3) for g, n in (("a", 2_000), ("b", 1), (None, 40))}
+    data = [(g, v) for g, some in values.items() for v in some] + [("a", None), ("a", float("nan")), ("c", None)]
+    df = spark.createDataFrame(data, "grp string, x double").repartition(6)
+    qs = [0.0, 0.013, 0.5, 0.77, 1.0]
+    got = {(r["grp"], r["q"]): r["value"] for r in exact_quantiles(df, "x", qs, ["grp"]).collect()}
+    assert got == pytest.approx({(g, q): float(np.quantile(some, q)) for g, some in values.items() for q in qs})
+
+
+def test_quantiles_never_order_all_rows_in_one_task(spark, plan, monkeypatch):
+    """No plan of the selection has a window; what is gathered per rank is a small bracket."""
+    plans = []
+    monkeypatch.setattr(quantiles, "stage", lambda df, label: plans.append(plan(df)) or stage(df, label))
+    monkeypatch.setattr(quantiles, "SMALL_BRACKET", 3)
+    monkeypatch.setattr(quantiles, "ACCURACY", 50)
+    df = spark.range(20_000).select((F.rand(5) * 60).alias("x"))
+    assert exact_quantiles(df, "x", [0.25, 0.95]).count() == 2
+    assert len(plans) >= 6 and not any("Window" in p or "CartesianProduct" in p or "NestedLoop" in p for p in plans)
+
+
 def test_content_hashes(spark):
     data = [(i, None if i % 4 == 0 else f"v{i % 7}") for i in range(200)] + [(1, "v1")] * 100
     df = spark.createDataFrame(data, "a int, b string")
