@@ -479,6 +479,13 @@ ORACLE: dict[str, str] = {
             as batch,
           case when o_orderstatus = 'O' then o_orderpriority end as priority
         from orders""",
+    "stored_upsert_moving_key": """
+        select o_orderkey,
+          case when o_orderpriority = '1-URGENT' then 'O' when o_orderstatus = 'P' then 'was: P/moved'
+            else o_orderstatus end as o_orderstatus,
+          case when o_orderpriority = '1-URGENT' then 'third' when o_orderstatus = 'P' then 'second'
+            else 'first' end as batch
+        from orders""",
     "flights_by_airport_role": _sql(
         _FLIGHTS,
         """

@@ -266,6 +266,22 @@ def stored_upsert_new_column(spark, sf_dir):
     return tables.read(spark, path).select("o_orderkey", "o_orderstatus", "batch", "priority")
 
 
+@query
+def stored_upsert_moving_key(spark, sf_dir):
+    """SNK-04, JOIN-04: keys move between stored partitions, one of which they leave empty and
+    one of which has signs in its name; the digest of keys says where they were."""
+    orders = samples.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = scratch_path(spark, "orders")
+    batches = {
+        "first": orders,
+        "second": orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("was: P/moved")),
+        "third": orders.where("o_orderpriority = '1-URGENT'").withColumn("o_orderstatus", F.lit("O")),
+    }
+    for name, batch in batches.items():
+        tables.upsert_table(batch.withColumn("batch", F.lit(name)), path, ["o_orderkey"], ["o_orderstatus"])
+    return tables.read(spark, path).select("o_orderkey", "o_orderstatus", "batch")
+
+
 # Projections, filters, predicates.
 
 

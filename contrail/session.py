@@ -77,9 +77,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged folder made by ``stage``."""
     if not path.startswith(f"{shared_dir(spark)}/contrail/"):
         raise ValueError(f"not a staged folder: {path}")
-    hadoop_path, fs = _hadoop_path(spark, path)
-    fs.delete(hadoop_path, True)
+    remove_folder(spark, path)

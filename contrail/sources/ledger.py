@@ -1,14 +1,19 @@
-"""Manifest of processed inputs (SRC-06..08, SNK-05, SRT-02)."""
+"""Manifest of processed inputs (SRC-06..08, SNK-05, SRT-02).
+
+The stored ledger is a log: a run adds its own entries and reads or rewrites no others.
+Readers see the entry in force of each file; ``compact`` shortens the log."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from contrail import schemas
 from contrail.operators import merge as merging
+from contrail.session import discard, stage
 from contrail.sources import tables
 
 KEYS = ("dataset", "source_file")
@@ -17,14 +22,46 @@ PROCESSING = "processing"
 FAILED = "failed"
 PARTITION = ("dataset",)
 PAYLOAD = ("ingest_id", "processed_ts", "status", "file_hash", "version")
-# Changes that rewrite an entry.
+# An entry that differs from the one before in none of these changes nothing.
 COMPARED = ("status", "file_hash", "ingest_id", "version")
+WRITTEN = "written_at"
 
+_last_written = 0
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+
+def _now() -> int:
+    """Microseconds since the epoch, later than any before in this process."""
+    global _last_written
+    _last_written = max(_last_written + 1, time.time_ns() // 1_000)
+    return _last_written
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All entries ever recorded and not compacted, with the time of writing."""
+    schema = f"{schemas.MANIFEST}, {WRITTEN} bigint"
     if not tables.exists(spark, path):
-        return spark.createDataFrame([], schemas.MANIFEST)
-    return spark.read.schema(schemas.MANIFEST).parquet(path)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The entry in force of every file."""
+    return in_force(read_log(spark, path)).drop(WRITTEN)
+
+
+def in_force(log: DataFrame, compared: Sequence[str] = COMPARED) -> DataFrame:
+    """Of each file the last entry that changed anything.
+
+    A repeated entry changes nothing, so the first of equal ones stands, with its time.  One
+    window per file; a file has as many entries as runs that touched it."""
+    in_time = Window.partitionBy(*KEYS).orderBy(F.col(WRITTEN).asc_nulls_first(), "processed_ts", "ingest_id", "status")
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.col(c).eqNullSafe(F.lag(c).over(in_time))
+    place = F.row_number().over(in_time)
+    numbered = log.withColumns({"_place": place, "_changed": (place == 1) | ~same}).where("_changed")
+    last = Window.partitionBy(*KEYS).orderBy(F.col("_place").desc())
+    return numbered.withColumn("_last", F.row_number().over(last)).where("_last = 1").drop("_place", "_changed", "_last")
 
 
 def entries(
@@ -51,23 +88,35 @@ def entries(
 def merge_entries(
     manifest: DataFrame, new: DataFrame, compared: Sequence[str] = COMPARED
 ) -> DataFrame:
-    """SNK-05: add new entries, update those that differ, leave the others alone."""
-    updates = {c: F.col(f"s.{c}") for c in PAYLOAD if c in new.columns}
-    return merging.merge(manifest, new, KEYS, updates, merging.differs(compared))
-
-
-def record(new: DataFrame, path: str, compared: Sequence[str] = COMPARED) -> None:
-    """Merge entries into the manifest table; only their datasets are rewritten."""
-    updates = {c: F.col(f"s.{c}") for c in PAYLOAD}
-    tables.upsert_table(
-        new,
-        path,
-        KEYS,
-        PARTITION,
-        set_when_matched=updates,
-        when=merging.differs(compared),
-        key_fixes_partition=True,
-    )
+    """SNK-05: add new entries, update those that differ, leave the others alone.
+
+    The same as recording ``new`` after ``manifest`` and reading what is in force: one
+    shuffle of both, no join.  Of several new entries of a file the latest counts."""
+    log = manifest.withColumn(WRITTEN, F.lit(0)).unionByName(new.withColumn(WRITTEN, F.lit(1)))
+    return in_force(log, compared).drop(WRITTEN)
+
+
+def record(new: DataFrame, path: str) -> None:
+    """SNK-05: append entries; nothing that is in the ledger is read or rewritten.
+
+    A lost run leaves entries or none, and a repeated one adds equal entries, which change
+    nothing.  Writers are ordered by their clocks.  NULL keys are refused."""
+    missing = F.raise_error(F.lit(f"NULL in ledger key {list(KEYS)}")).cast("string")
+    keyed = new.select(*[F.coalesce(F.col(k), missing).alias(k) for k in KEYS], *PAYLOAD)
+    tables.append(keyed.withColumn(WRITTEN, F.lit(_now()).cast("bigint")), path, PARTITION)
+
+
+def compact(spark: SparkSession, path: str, dataset: str) -> None:
+    """Keep only the entries in force of a dataset, in as few files as they need.
+
+    Staged first, then put in place of the dataset's partition; a lost run is run again.
+    Entries recorded meanwhile would go, so no run of the dataset may be under way."""
+    log = read_log(spark, path).where(F.col("dataset") == dataset)
+    staged, scratch = stage(in_force(log), "ledger")
+    try:
+        tables.replace_partitions(staged, path, PARTITION)
+    finally:
+        discard(spark, scratch)
 
 
 def done_entries(manifest: DataFrame, dataset: str | None = None) -> DataFrame:

@@ -3,20 +3,28 @@
 A table keeps its schema beside its files, in a folder that Spark's listings skip.  Every
 read is under it: no column depends on which footer is looked at, and partition values
 keep their declared type.  A write that brings new columns adds them to the schema first;
-files written before then read as NULL there."""
+files written before then read as NULL there.
+
+A table whose keys move between partitions keeps a digest too: the hashes of the keys of each
+partition.  It may name too many partitions for a key, never too few; a write that does not
+keep it up removes it."""
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail.operators import merge as merging
-from contrail.session import discard, path_exists, stage
+from contrail.session import discard, path_exists, remove_folder, stage
+
+SCHEMA_FOLDER, DIGEST_FOLDER = "_schema", "_keys"
+KEY_HASH = "_key_hash"
 
-SCHEMA_FOLDER = "_schema"
+# How partition values are written as folder names.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = {chr(c) for c in range(1, 32)} | set("\"#%'*/:=?\\{[]^\x7f")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -79,12 +87,14 @@ def _writer(df: DataFrame, partition_cols: Sequence[str]):
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """SNK-01."""
+    _forget_keys(df.sparkSession, path)
     _evolve(df, path)
     _writer(df, partition_cols).mode("append").parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """SNK-02: replace the whole table, schema included.  ``df`` must not read it."""
+    _forget_keys(df.sparkSession, path)
     writer = _writer(df, partition_cols).mode("overwrite")
     writer.option("partitionOverwriteMode", "static").parquet(path)
     _declare(df.sparkSession, path, df.schema)
@@ -94,11 +104,71 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str])
     """SNK-03: replace the partitions that occur in ``df`` and no others.
 
     Repeating the write gives the same table, so a lost run is simply run again."""
+    _forget_keys(df.sparkSession, path)
+    _replace(df, path, partition_cols)
+
+
+def _replace(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     _evolve(df, path)
     writer = _writer(df, partition_cols).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+# The digest of keys.
+
+
+def _digest_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{DIGEST_FOLDER}"
+
+
+def _forget_keys(spark: SparkSession, path: str) -> None:
+    """Before a write that does not keep the digest up: a stale one would miss keys."""
+    if exists(spark, _digest_path(path)):
+        remove_folder(spark, _digest_path(path))
+
+
+def _hashed(df: DataFrame, keys: Sequence[str], partition_cols: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Partition and hash of every key, as the table's types."""
+    typed = [F.col(k).cast(schema[k].dataType) for k in keys]
+    return df.select(*[F.col(c).cast(schema[c].dataType) for c in partition_cols], F.xxhash64(*typed).alias(KEY_HASH))
+
+
+def _write_keys(hashes: DataFrame, path: str, partition_cols: Sequence[str], mode: str, overwrite: str = "dynamic") -> None:
+    """Sorted, so that the files are small and say which hashes they can hold."""
+    ordered = hashes.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, KEY_HASH)
+    writer = ordered.write.partitionBy(*partition_cols).mode(mode)
+    writer.option("partitionOverwriteMode", overwrite).parquet(_digest_path(path))
+
+
+def _build_keys(spark: SparkSession, path: str, keys: Sequence[str], partition_cols: Sequence[str]) -> None:
+    """The digest of the whole table, by one scan of its keys; complete once it says so."""
+    _forget_keys(spark, path)
+    table = read(spark, path)
+    _write_keys(_hashed(table, keys, partition_cols, table.schema), path, partition_cols, "overwrite", "static")
+    of = spark.createDataFrame([(json.dumps([list(keys), list(partition_cols)]),)], "value string").coalesce(1)
+    of.write.text(f"{_digest_path(path)}/_of")
+
+
+def _has_keys(spark: SparkSession, path: str, keys: Sequence[str], partition_cols: Sequence[str]) -> bool:
+    of = f"{_digest_path(path)}/_of"
+    return exists(spark, f"{of}/_SUCCESS") and json.loads(spark.read.text(of).first()["value"]) == [
+        list(keys), list(partition_cols),
+    ]
+
+
+def candidate_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_cols: Sequence[str]) -> DataFrame:
+    """The partitions that can hold a key of ``source`` now, by the digest alone: eight bytes a
+    key are read, and no file of the table.  Without a digest it is built first."""
+    spark = source.sparkSession
+    if not _has_keys(spark, path, keys, partition_cols):
+        _build_keys(spark, path, keys, partition_cols)
+    table = schema_of(spark, path)
+    schema = T.StructType([*[table[c] for c in partition_cols], T.StructField(KEY_HASH, T.LongType())])
+    digest = spark.read.schema(schema).parquet(_digest_path(path))
+    wanted = _hashed(source, keys, (), table).distinct()
+    return digest.join(wanted, KEY_HASH, "left_semi").select(*partition_cols).distinct()
+
+
 def upsert_table(
     source: DataFrame,
     path: str,
@@ -114,7 +184,7 @@ def upsert_table(
 
     Only partitions that can change are read and rewritten: those of the source
     and, unless ``key_fixes_partition`` says that a key never moves, those where
-    its keys are now.  The result is staged in the shared folder and published
+    its keys are now, as the digest of keys names them.  The result is staged in the shared folder and published
     by one partition overwrite, so nothing reads the path it writes and a lost
     executor costs a task, not the table.  Errors surface; the table is created
     only when it is missing (D4).  Columns that either side lacks are NULL there; a
@@ -148,15 +218,13 @@ def _upsert_stored(
         return
 
     target = read(spark, path)
+    moving = bool(partition_cols) and not key_fixes_partition
     old_partitions = None
     if partition_cols:
         touched = source.select(*partition_cols)
-        if not key_fixes_partition:
-            old_partitions = (
-                target.select(*keys, *[c for c in partition_cols if c not in keys])
-                .join(source.select(*keys), list(keys), "left_semi")
-                .select(*partition_cols)
-            )
+        if moving:
+            old_partitions, old_path = stage(candidate_partitions(source, path, keys, partition_cols), "candidates")
+            scratch.append(old_path)
             touched = touched.union(old_partitions)
         target = restrict(target, touched.distinct(), partition_cols)
 
@@ -164,13 +232,23 @@ def _upsert_stored(
         _merged(target, source, keys, set_when_matched, when, newest_by), "merged"
     )
     scratch.append(merged_path)
+    if not moving:
+        _publish(merged, path, partition_cols)
+        return
     # Old partitions that the merged rows do not reach are emptied by keys that moved
     # away.  Found, and their folders named, before anything is published.
-    emptied = _emptied(old_partitions, merged, partition_cols) if old_partitions is not None else []
-    _publish(merged, path, partition_cols)
+    emptied = _emptied(old_partitions, merged, partition_cols)
+    # The digest first learns where the keys will be and last forgets where they were: a run
+    # lost in between leaves one that names a partition too many.
+    hashes = _hashed(merged, keys, partition_cols, merged.schema)
+    _write_keys(_hashed(source, keys, partition_cols, merged.schema), path, partition_cols, "append")
+    _replace(merged, path, partition_cols)
     for folder in emptied:
         empty = merged.drop(*partition_cols).limit(0)
         empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+    _write_keys(hashes, path, partition_cols, "overwrite")
+    for folder in emptied:
+        hashes.select(KEY_HASH).limit(0).write.mode("overwrite").parquet(f"{_digest_path(path)}/{folder}")
 
 
 def _merged(target, source, keys, set_when_matched, when, newest_by) -> DataFrame:
@@ -212,15 +290,17 @@ def _emptied(old: DataFrame, merged: DataFrame, partition_cols: Sequence[str]) -
     """Folders that held a key of the source and hold no merged row; one per partition."""
     kept = merged.select(*[F.col(c).alias(f"_kept_{c}") for c in partition_cols]).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in partition_cols]
-    gone = old.distinct().join(kept, same, "left_anti").collect()
-    return ["/".join(_directory(c, row[c]) for c in partition_cols) for row in gone]
+    gone = old.distinct().join(kept, same, "left_anti")
+    names = gone.select(*[F.col(c).cast("string") for c in partition_cols]).collect()
+    return ["/".join(folder_name(c, row[c]) for c in partition_cols) for row in names]
+
 
+def folder_name(column: str, value: str | None) -> str:
+    """The folder of a partition value given as text; an empty text is written like NULL."""
+    def escaped(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
 
-def _directory(column: str, value) -> str:
-    text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    if not re.fullmatch(r"[\w.-]+", text):
-        raise ValueError(f"partition value needs escaping: {column}={text}")
-    return f"{column}={text}"
+    return f"{escaped(column)}={escaped(value) if value else NULL_PARTITION}"
 
 
 def register(spark: SparkSession, path: str, database: str, table: str) -> None:

@@ -38,6 +38,67 @@ def test_upsert_moves_a_key_between_partitions(spark, tmp_path, rows):
         assert got == [(1, 4, "A"), (2, 1, "b"), (3, 4, "C"), (4, 3, "x"), (5, 1, "e")]
 
 
+def test_moving_keys_read_candidate_partitions_only(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert_table(frame(spark, *[(k, 1 + k % 20, "a", 1) for k in range(200)]), path, ["k"], ["d"])
+    seen = []
+    restrict = tables.restrict
+    monkeypatch.setattr(tables, "restrict", lambda df, parts, cols: seen.append(sorted(r[0] for r in parts.select(F.day("d")).collect())) or restrict(df, parts, cols))
+    files_of = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("d=*/*.parquet")}
+    before = files_of()
+    for _ in range(2):
+        tables.upsert_table(frame(spark, (3, 25, "moved", 2), (24, 5, "same", 2), (999, 7, "new", 2)), path, ["k"], ["d"])
+    # Key 3 was on the 4th; then the digest knows that it is on the 25th.
+    assert seen == [[4, 5, 7, 25], [5, 7, 25]]
+    kept = {f for f in before if f.exists()}
+    assert {f.parent.name[-2:] for f in before} - {f.parent.name[-2:] for f in kept} == {"04", "05", "07"}
+    got = rows(tables.read(spark, path).where("v <> 'a'").withColumn("d", F.day("d")), "k", "d", "v")
+    assert got == [(24, 5, "same"), (3, 25, "moved"), (999, 7, "new")] and tables.read(spark, path).count() == 201
+    digest = tables.candidate_partitions(frame(spark, (3, 1, "", 1)), path, ["k"], ["d"])
+    plan = digest._jdf.queryExecution().executedPlan().toString()
+    assert "_keys" in plan and "/t/d=" not in plan and rows(digest.select(F.day("d"))) == [(25,)]
+
+
+def test_digest_outlives_a_lost_run_and_no_other_write(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert_table(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1)), path, ["k"], ["d"])
+    move = frame(spark, (1, 3, "A", 2))
+    tables.upsert_table(frame(spark, (2, 2, "b", 2)), path, ["k"], ["d"])
+    replace = tables._replace
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for broken in (lost, lambda *a: replace(*a) or lost()):
+        monkeypatch.setattr(tables, "_replace", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.upsert_table(move, path, ["k"], ["d"])
+    monkeypatch.setattr(tables, "_replace", replace)
+    tables.upsert_table(move, path, ["k"], ["d"])
+    assert rows(tables.read(spark, path), "k", "v") == [(1, "A"), (2, "b")]
+    # A write that knows no keys removes the digest; the next upsert builds it anew.
+    tables.append(frame(spark, (3, 9, "c", 1)), path, ["d"])
+    assert not (tmp_path / "t" / "_keys").exists()
+    tables.upsert_table(frame(spark, (3, 1, "C", 2)), path, ["k"], ["d"])
+    assert rows(tables.read(spark, path), "k", "v") == [(1, "A"), (2, "b"), (3, "C")]
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "boolean", "double"])
+def test_keys_leave_partitions_of_any_name(spark, tmp_path, rows, kind):
+    values = {
+        "string": ["a b", "x/y: 50%", None, "é=[1]"], "timestamp": ["2024-01-01 10:00:00", "2024-01-01 10:30:00.5", None],
+        "boolean": ["true", "false", None], "double": ["1.5", "-0.25", None],
+    }[kind]
+    path = str(tmp_path / "t")
+    data = lambda shift: spark.createDataFrame(
+        [(i, values[(i + shift) % len(values)]) for i in range(2 if shift else 4)], "k int, p string"
+    ).withColumn("p", F.col("p").cast(kind))
+    tables.upsert_table(data(0).where("k < 2"), path, ["k"], ["p"])
+    tables.upsert_table(data(1), path, ["k"], ["p"])
+    got = tables.read(spark, path).select("k", F.col("p").cast("string"))
+    assert rows(got) == rows(data(1).select("k", F.col("p").cast("string")))
+
+
 def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert_table(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1)), path, ["k", "d"], ["d"])
@@ -132,6 +193,33 @@ def test_manifest(spark, tmp_path, at, rows):
     assert rows(ledger.unfinished(manifest, "a"), "source_file") == [("f2",)]
 
 
+def test_a_record_adds_its_own_entries_only(spark, tmp_path, at, rows):
+    path = tmp_path / "manifest"
+    names = lambda *n: spark.createDataFrame([(x,) for x in n], "source_file string")
+    stored = lambda: {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    ledger.record(ledger.entries(names("f1", "f2", "f3"), "a", "r1", at(1), ledger.PROCESSING), str(path))
+    before = stored()
+    ledger.record(ledger.entries(names("f1", "f3"), "a", "r1", at(2)), str(path))
+    after = stored()
+    assert before.items() <= after.items() and len(after) > len(before)
+    assert ledger.read_log(spark, str(path)).count() == 5
+    # Equal entries change nothing, one that differs does, also back to what was before.
+    ledger.record(ledger.entries(names("f1"), "a", "r1", at(9)), str(path))
+    in_force = lambda: rows(ledger.read_manifest(spark, str(path)).select("source_file", "status", F.unix_timestamp("processed_ts")))
+    hour = lambda h: int(at(h).timestamp())
+    assert in_force() == [("f1", "done", hour(2)), ("f2", "processing", hour(1)), ("f3", "done", hour(2))]
+    ledger.record(ledger.entries(names("f3"), "a", "r1", at(4), ledger.FAILED), str(path))
+    ledger.record(ledger.entries(names("f3"), "a", "r1", at(5)), str(path))
+    ledger.record(ledger.entries(names("f1"), "b", "r1", at(5)), str(path))
+    wanted = [("f1", "done", hour(2)), ("f1", "done", hour(5)), ("f2", "processing", hour(1)), ("f3", "done", hour(5))]
+    assert in_force() == wanted
+    ledger.compact(spark, str(path), "a")
+    ledger.compact(spark, str(path), "a")
+    assert in_force() == wanted and ledger.read_log(spark, str(path)).count() == 4
+    with pytest.raises(Exception, match="NULL in ledger key"):
+        ledger.record(ledger.entries(spark.createDataFrame([(None,)], "source_file string"), "a", "r1", at(1)), str(path))
+
+
 def test_change_gates(spark, at):
     ddl = "dataset string, source_file string, ingest_id string, processed_ts timestamp, status string, file_hash string, version string"
     log = spark.createDataFrame(
