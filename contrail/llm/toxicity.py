@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from contrail.llm.common import prepare, text_parts, whole_text
@@ -25,6 +26,10 @@ LONGEST_WORD = 24
 LEAST_SHARE = 0.003
 #: Words are entries from so many times the odds of a clean document.
 LEAST_ODDS = 8.0
+#: Standard errors that a weight is below what was counted.
+CAUTION = 1.64
+#: Near copies of the sample fall together by the smallest hash under any of these rules.
+MARK_RULES = (0x1E3779B97F4A7C15, 0x3F58476D1CE4E5B9, 0x14D049BB133111EB)
 #: Entries and exception phrases at most, the strongest first.
 LEXICON_SIZE = 2_000
 #: A phrase round an entry is an exception from so many clean documents with it, and if it
@@ -170,7 +175,10 @@ def _counted(sample: DataFrame, features) -> DataFrame:
 
 
 def _log_odds(clean: float, toxic: float, n_clean: int, n_toxic: int) -> float:
-    return float(np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 0.5) / (n_clean + 1.0)))
+    """How much a feature speaks for a toxic document, at the least: the lower end of the log
+    odds ratio, so that what was seen in few documents weighs little."""
+    ratio = np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 0.5) / (n_clean + 1.0))
+    return float(ratio - CAUTION * np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)))
 
 
 def _choose(counts: Iterable[tuple[str, int, int]], n_clean: int, n_toxic: int) -> dict[str, float]:
@@ -185,7 +193,7 @@ def _choose(counts: Iterable[tuple[str, int, int]], n_clean: int, n_toxic: int)
     blocked: set[str] = set()
     for entry in sorted(told, key=lambda f: (told[f], f), reverse=True):
         nested = stems(entry)
-        if entry in blocked or any(s in chosen for s in nested):
+        if odds[entry] <= 0 or entry in blocked or any(s in chosen for s in nested):
             continue
         chosen[entry] = odds[entry]
         blocked.update(nested)
@@ -233,6 +241,23 @@ def _fit(weight: np.ndarray, words: np.ndarray, toxic: np.ndarray, counts: tuple
     return tuple(float(b) for b in beta)
 
 
+def _marks(text: str) -> list[int]:
+    """The smallest hashes, by several rules, of the runs of five words: the same for most near copies."""
+    words = text.lower().split()
+    runs = {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    hashes = np.array([xxhash.xxh3_64_intdigest(r) for r in runs], np.uint64)
+    return [int((hashes * np.uint64(2 * rule + 1)).min() >> np.uint64(1)) for rule in MARK_RULES]
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch, some in text_parts(batches, "text"):
+            marks = pa.array([_marks(t) for t in some], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("text"), marks], ["toxic", "text", "marks"])
+
+    return texts.select("toxic", "text").mapInArrow(run, "toxic int, text string, marks array<bigint>")
+
+
 def train(
     documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     exceptions: Sequence[str] = (), sample_docs: int = SAMPLE_DOCS,
@@ -241,7 +266,8 @@ def train(
 
     ``labels`` has one row per labelled document; of several rows of an id the largest label
     counts, rows without id or label do not.  The sample is bounded: of each label the ``sample_docs``
-    documents with the smallest hashes; equal texts count once.  Counts per word and stem, and per
+    documents with the smallest hashes.  Equal texts and near copies of one label count once, as the
+    words of a much copied text say nothing of the label.  Counts per word and stem, and per
     phrase round an entry, come from Spark over the whole texts of the sample; only what is
     frequent enough reaches the driver.  ``exceptions`` are phrases known beforehand.  Without
     documents of both labels the lexicon is empty and every score is small."""
@@ -253,7 +279,12 @@ def train(
     # At most twice ``sample_docs`` ids.
     drawn = F.broadcast(small(0).unionByName(small(1)))
     texts = documents.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("text")).join(drawn, "_id")
-    sample, _ = stage(texts.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxicity-sample")
+    sample = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    sample = _marked(sample)
+    for rule in range(len(MARK_RULES)):
+        first = F.min(F.struct("text", "marks")).alias("s")
+        sample = sample.groupBy("toxic", F.col("marks")[rule].alias("_mark")).agg(first).select("toxic", "s.*")
+    sample, _ = stage(sample.drop("marks"), "toxicity-sample")
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_clean, n_toxic = totals.get(0, 0), totals.get(1, 0)
     if not n_clean or not n_toxic:
