@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +19,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from contrail.llm.common import BATCH_ROWS, free_name, prepare, text_parts, whole_text
 from contrail.llm.word_codec import WordCodec
-from contrail.session import discard, stage
+from contrail.session import stage
 
 #: Items that a task packs at once, and partitions that meet in one of the next round.
 BLOCK_ITEMS, FAN_IN = 50_000, 8
-#: Tokens that a task packs at once, as items may carry them, and the bins that a block must
-#: fill at least to be packed before it meets others.
-BLOCK_TOKENS, LEAST_BINS = 8 << 20, 256
+#: Tokens that a task packs at once, as items may carry them.
+BLOCK_TOKENS = 8 << 20
 #: A bin with at most this share of room left is nearly full.
 SLACK = 1 / 512
 
@@ -67,51 +67,66 @@ def _pack_block(used: np.ndarray, members: pa.ListArray, bins: np.ndarray) -> tu
 
 def _nearly_full(used: np.ndarray, members: pa.ListArray, capacity: int, near: int) -> tuple[np.ndarray, pa.ListArray]:
     """Bins of a block as far as they are nearly full, then the other items each alone."""
-    if used.sum() < LEAST_BINS * capacity:
-        return _pack_block(used, members, np.arange(len(used)))
     bins = best_fit(used, capacity)
     full = np.bincount(bins, weights=used)[bins] >= near
     bins[~full] = len(used) + np.arange(len(used) - full.sum())
     return _pack_block(used, members, np.unique(bins, return_inverse=True)[1])
 
 
-def _round(bins: DataFrame, capacity: int, number: int) -> DataFrame:
-    """One round: bins in, fewer bins out, each with a number of its own."""
+def _alone(batches: Iterable[pa.RecordBatch], length_col: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    """Every item as a bin of its own."""
+    for batch in batches:
+        used = pa.compute.fill_null(batch.column(length_col).cast(pa.int64()), 0)
+        sizes = used.to_numpy()
+        if len(sizes) and (sizes.min() < 0 or sizes.max() > capacity):
+            raise ValueError(f"an item is longer than {capacity} or shorter than 0")
+        items = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+        members = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1), pa.int32()), items)
+        yield pa.RecordBatch.from_arrays([used, members], ["used", "members"])
+
+
+def _packed(batches: Iterable[pa.RecordBatch], capacity: int, number: int) -> Iterator[pa.RecordBatch]:
+    """One round in a task: bins in, fewer bins out, each with a number of its own."""
     near = capacity - int(capacity * SLACK)
+    task, made, waiting, rows, tokens = TaskContext.get().partitionId(), 0, [], 0, 0
+
+    def block():
+        nonlocal made
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        used = table.column("used").to_numpy()
+        members = table.column("members").chunk(0)
+        if number:
+            total, joined = _pack_block(used, members, best_fit(used, capacity))
+        else:
+            total, joined = _nearly_full(used, members, capacity, near)
+        ids = (number << 56) + (task << 32) + made + np.arange(len(total))
+        made += len(total)
+        whole = pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(total, pa.int64()), pa.array(total < near), joined],
+            ["bin", "used", "open", "members"],
+        )
+        return [whole.slice(k, BATCH_ROWS) for k in range(0, whole.num_rows, BATCH_ROWS)]
 
-    def run(batches):
-        task, made, waiting, rows, tokens = TaskContext.get().partitionId(), 0, [], 0, 0
-
-        def packed():
-            nonlocal made
-            table = pa.Table.from_batches(waiting).combine_chunks()
-            used = table.column("used").to_numpy()
-            members = table.column("members").chunk(0)
-            if number:
-                total, joined = _pack_block(used, members, best_fit(used, capacity))
-            else:
-                total, joined = _nearly_full(used, members, capacity, near)
-            ids = (number << 56) + (task << 32) + made + np.arange(len(total))
-            made += len(total)
-            whole = pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(total, pa.int64()), pa.array(total < near), joined],
-                ["bin", "used", "open", "members"],
-            )
-            return [whole.slice(k, BATCH_ROWS) for k in range(0, whole.num_rows, BATCH_ROWS)]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        rows += batch.num_rows
+        tokens += pa.compute.sum(batch.column("used")).as_py() or 0
+        if rows >= BLOCK_ITEMS or tokens >= BLOCK_TOKENS:
+            yield from block()
+            waiting, rows, tokens = [], 0, 0
+    if rows:
+        yield from block()
 
-        for batch in batches:
-            waiting.append(batch)
-            rows += batch.num_rows
-            tokens += pa.compute.sum(batch.column("used")).as_py() or 0
-            if rows >= BLOCK_ITEMS or tokens >= BLOCK_TOKENS:
-                yield from packed()
-                waiting, rows, tokens = [], 0, 0
-        if rows:
-            yield from packed()
 
-    members = bins.schema["members"].dataType
-    schema = T.StructType().add("bin", "long").add("used", "long").add("open", "boolean").add("members", members)
-    return bins.select("used", "members").mapInArrow(run, schema)
+def _bin_schema(items: T.StructType) -> T.StructType:
+    return T.StructType().add("bin", "long").add("used", "long").add("open", "boolean").add("members", T.ArrayType(items))
+
+
+def _round(bins: DataFrame, capacity: int, number: int, items: T.StructType) -> DataFrame:
+    run = lambda batches: _packed(batches, capacity, number)
+    return bins.select("used", "members").mapInArrow(run, _bin_schema(items))
 
 
 def pack(items: DataFrame, length_col: str, capacity: int) -> DataFrame:
@@ -120,25 +135,23 @@ def pack(items: DataFrame, length_col: str, capacity: int) -> DataFrame:
 
     Sequence numbers are unique, not consecutive.  Null lengths count as 0; a length over
     ``capacity`` or below 0 fails.  Repeated rows are items of their own.  No items: no rows.
-    All columns are carried, and written twice.  What is not nearly full in its partition is shuffled, and again
+    All columns are carried, and written once.  What is not nearly full in its partition is shuffled, and again
     in each round."""
+    prepare(items.sparkSession)
+    return _pack_made(items, lambda batches: batches, items.schema, length_col, capacity)
+
+
+def _pack_made(source: DataFrame, make, schema: T.StructType, length_col: str, capacity: int) -> DataFrame:
+    """Pack the items that ``make`` gives for the batches of ``source``, in the tasks that make them."""
     for name in ("sequence_id", "offset"):
-        if name in items.columns:
+        if name in schema.names:
             raise ValueError(f"the input already has a column {name}")
-    spark = prepare(items.sparkSession)
-    size = F.coalesce(F.col(length_col).cast("long"), F.lit(0))
-    member = F.struct(*[F.col(c) for c in items.columns])
-    checked = F.when(
-        size.between(0, capacity), size
-    ).otherwise(F.raise_error(F.lit(f"an item is longer than {capacity} or shorter than 0")).cast("long"))
-    # Staged, so that what makes the items and what packs them are not in one task's memory.
-    alone, path = stage(items.select(checked.alias("used"), F.array(member).alias("members")), "pack-items")
-    bins, _ = stage(_round(alone, capacity, 0), "pack-first")
-    discard(spark, path)
+    first = lambda batches: _packed(_alone(make(batches), length_col, capacity), capacity, 0)
+    bins, _ = stage(source.mapInArrow(first, _bin_schema(schema)), "pack-first")
     done, open_, number = [bins.filter(~F.col("open"))], bins.filter("open"), 1
     before, width = _extent(open_)
     while before:
-        bins, _ = stage(_round(open_.repartition(width), capacity, number), "pack-round")
+        bins, _ = stage(_round(open_.repartition(width), capacity, number, schema), "pack-round")
         done.append(bins.filter(~F.col("open")))
         rest = bins.filter("open")
         after, needed = _extent(rest)
@@ -148,7 +161,7 @@ def pack(items: DataFrame, length_col: str, capacity: int) -> DataFrame:
         open_, before, number = rest, after, number + 1
         width = max(needed, math.ceil(width / FAN_IN) if needed > 1 else 1)
     all_bins = functools.reduce(DataFrame.unionByName, done)
-    return _places(all_bins, items.schema, length_col)
+    return _places(all_bins, schema, length_col)
 
 
 def _extent(bins: DataFrame) -> tuple[int, int]:
@@ -179,6 +192,14 @@ def _places(bins: DataFrame, schema: T.StructType, length_col: str) -> DataFrame
     return bins.select("bin", "members").mapInArrow(run, out)
 
 
+def pack_documents(
+    df: DataFrame, tokenizer_file: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The pieces of ``cut_documents`` with their ``sequence_id`` and ``offset``, packed by the
+    tasks that cut them: pieces are written for the first time in bins."""
+    return _pack_made(*_cutter(df, tokenizer_file, capacity, end_id, id_col, text_col), "length", capacity)
+
+
 def cut_documents(
     df: DataFrame, tokenizer_file: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -188,6 +209,12 @@ def cut_documents(
     than ``capacity`` is cut; its last piece may be shorter.  ``ids`` is binary,
     little-endian unsigned 32-bit integers.  Repeated rows give repeated pieces; other
     columns are left out.  No shuffle."""
+    named, run, schema = _cutter(df, tokenizer_file, capacity, end_id, id_col, text_col)
+    return named.mapInArrow(run, schema)
+
+
+def _cutter(df: DataFrame, tokenizer_file: str, capacity: int, end_id: int, id_col: str, text_col: str):
+    """What is read, what cuts its batches, and the schema of the pieces."""
     prepare(df.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as file:
         spec = file.read()
@@ -217,7 +244,7 @@ def cut_documents(
                 schema.names,
             )
 
-    return named.mapInArrow(run, schema)
+    return named, run, schema
 
 
 @functools.lru_cache(maxsize=2)

@@ -52,8 +52,7 @@ def pack_documents(documents: DataFrame) -> DataFrame:
     """Pieces of the documents with their sequences and their token ids.
 
     The ids of a sequence are those of its pieces in the order of ``offset``."""
-    pieces = packing.cut_documents(documents, public_tokenizers.path("word_bpe_49k.json"), CONTEXT, end_id=1)
-    packed = packing.pack(pieces, "length", CONTEXT)
+    packed = packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"), CONTEXT, end_id=1)
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids"
     )

@@ -57,7 +57,6 @@ def test_pack_carries_what_the_items_hold(spark):
         sequences[r.sequence_id] += r.ids
     assert max(map(len, sequences.values())) <= 100
     assert len(sequences) <= 1.01 * sum(r.n for r in rows) / 100
-    assert packing.LEAST_BINS * 100 < sum(r.n for r in rows) / 2
 
 
 def test_pack_ends_without_gain_and_refuses(spark):
