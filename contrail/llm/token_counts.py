@@ -10,6 +10,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from contrail.llm.common import free_name, prepare, text_parts, whole_text
+from contrail.session import stage
 
 #: Lengths per block of the running sums, so that no task sees all lengths.
 BLOCK = 4_096
@@ -66,7 +67,8 @@ def length_table(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     quantile that the length is; ``truncated_total``: tokens left if every document is cut
     to this length.  Null lengths are left out; no rows give no rows."""
     counts = lengths.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("long").alias("n_tokens"))
-    counts = counts.agg(F.count("*").alias("documents"))
+    # Written once: the running sums below read it several times, the texts are encoded once.
+    counts, _ = stage(counts.agg(F.count("*").alias("documents")), "length-histogram")
     counts = counts.withColumn("tokens", F.col("n_tokens") * F.col("documents"))
     up = _running(counts, {"documents": "documents_to", "tokens": "tokens_to"}, down=False)
     both = _running(up, {"documents": "documents_from", "tokens": "tokens_from"}, down=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import re
@@ -11,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
 PROCESSOR = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -18,6 +20,18 @@ TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 TOKENIZER.encode_special_tokens = True
 
 
+def _ranks():
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+
+
+ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(), special_tokens={})
+
+
+def token_count(text):
+    return len(ENCODING.encode_ordinary(text or ""))
+
+
 def sentencepiece_row(text):
     ids = PROCESSOR.encode(text or "", add_bos=True, add_eos=True)
     raw = np.array(ids, "<u4").tobytes()

@@ -114,6 +114,7 @@ def test_token_counts(spark, documents):
     rows = sorted(result(spark, "op7_token_counts"), key=lambda r: r.n_tokens)
     assert sum(r.documents for r in rows) == len(documents)
     lengths = sorted(n for r in rows for n in [r.n_tokens] * r.documents)
+    assert lengths == sorted(brute.token_count(text) for text, _ in documents.values())
     for r in rows:
         assert r.tokens_to == sum(n for n in lengths if n <= r.n_tokens)
         assert r.documents_from == sum(n >= r.n_tokens for n in lengths)
