@@ -24,7 +24,7 @@ def require_keys(df: DataFrame, *keys: str) -> DataFrame:
 def add_layer_metadata(
     df: DataFrame,
     layer: str,
-    source: str,
+    source: str | Column,
     run_ts: datetime | Column,
     version: str = "v1.0.0",
     run_id: str = "manual",
@@ -40,7 +40,7 @@ def add_layer_metadata(
             f"_{layer}_ts": stamp.cast("timestamp"),
             f"_{layer}_run_id": F.lit(run_id),
             f"_{layer}_job": F.lit(job),
-            "_source": F.lit(source),
+            "_source": source if isinstance(source, Column) else F.lit(source),
         }
     )
 

@@ -597,6 +597,17 @@ ORACLE: dict[str, str] = {
           from hashed)
         select sha256(concat_ws(':', count(*)::varchar, sum(a)::varchar, sum(b)::varchar, sum(c)::varchar,
             sum(d)::varchar)) as content_hash from lanes""",
+    "stored_hash_after_upsert": """
+        with hashed as (
+          select sha256(concat_ws('␟', cast(o_orderkey as varchar),
+              case when o_orderstatus = 'P' then 'O' else o_orderstatus end,
+              case when o_orderstatus = 'O' then 'none' else o_orderpriority end)) as h from orders),
+        lanes as (
+          select cast('0x' || substr(h, 1, 15) as bigint) as a, cast('0x' || substr(h, 16, 15) as bigint) as b,
+            cast('0x' || substr(h, 31, 15) as bigint) as c, cast('0x' || substr(h, 46, 15) as bigint) as d
+          from hashed)
+        select sha256(concat_ws(':', count(*)::varchar, sum(a)::varchar, sum(b)::varchar, sum(c)::varchar,
+            sum(d)::varchar)) as content_hash from lanes""",
     "distinct_pairs": _sql(
         ["legs", "clean_legs"], "select distinct dep_icao, arr_icao from clean_legs"
     ),

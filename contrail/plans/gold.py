@@ -36,6 +36,13 @@ def fact_flights(
     both = union_by_name(
         select_allowlist(departures, FLIGHTS_COLUMNS), select_allowlist(arrivals, FLIGHTS_COLUMNS)
     )
+    return freshest_flights(both, run_ts, version, run_id)
+
+
+def freshest_flights(
+    both: DataFrame, run_ts: datetime, version: str = "v1.0.0", run_id: str = "manual"
+) -> DataFrame:
+    """FCT-01 from one frame of all feeds."""
     order = [
         c
         for c in ("_silver_ts", "_ingest_ts", "_source_file", "callsign_norm")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -150,12 +150,39 @@ def silver_flights(
     Duplicates go first and everything that follows from a flight's own columns
     is derived after them: the shuffle carries few columns, and repeated rows are
     neither derived nor enriched."""
+    flights = _unique_flights(bronze, airlines, airports)
+    stamped = add_layer_metadata(flights, "silver", source, run_ts, version)
+    return select_allowlist(stamped, FLIGHTS_COLUMNS)
+
+
+def silver_flight_feeds(
+    bronze: DataFrame,
+    airlines: DataFrame | Dimension,
+    airports: DataFrame | Dimension,
+    feeds: Mapping[str, str],
+    run_ts: datetime,
+    version: str = "v1.0.0",
+) -> DataFrame:
+    """SLV-02 for flights that are not yet split into feeds: one pass for all of them.
+
+    ``feeds`` maps the name of a feed to the end (``dep_icao``, ``arr_icao``) that must be known
+    for a flight to be in it.  The ends are part of the flight's key, so copies of a flight are in
+    the same feeds: duplicates go once, before a flight is emitted to each of its feeds, and what
+    follows by flight finds the partitioning it needs."""
+    flights = _unique_flights(bronze, airlines, airports)
+    named = F.array(*[F.when(F.col(end).isNotNull(), F.lit(name)) for name, end in feeds.items()])
+    feed = F.explode(F.filter(named, lambda name: name.isNotNull()))
+    emitted = flights.drop("_source_file").withColumn("_source_file", feed)
+    source = F.concat(F.lit("bronze."), F.col("_source_file"))
+    stamped = add_layer_metadata(emitted, "silver", source, run_ts, version)
+    return select_allowlist(stamped, FLIGHTS_COLUMNS)
+
+
+def _unique_flights(bronze: DataFrame, airlines: DataFrame | Dimension, airports: DataFrame | Dimension) -> DataFrame:
     identified = identify_flights(bronze)
     order = _present(identified, ["_ingest_ts", "_source_file", "callsign_norm"])
     unique = latest_per_key(identified, FLIGHTS_KEY, order)
-    enriched = enrich_airports(enrich_airline(derive_flights(unique), airlines), airports)
-    stamped = add_layer_metadata(enriched, "silver", source, run_ts, version)
-    return select_allowlist(stamped, FLIGHTS_COLUMNS)
+    return enrich_airports(enrich_airline(derive_flights(unique), airlines), airports)
 
 
 def clean_ref_airlines(bronze: DataFrame) -> DataFrame:

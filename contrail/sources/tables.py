@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from contrail.operators import merge as merging
 from contrail.session import discard, path_exists, remove_folder, stage
@@ -179,7 +179,7 @@ def upsert_table(
     newest_by: Sequence[str] = (),
     key_fixes_partition: bool = False,
     staged: bool = False,
-) -> None:
+) -> list[Row]:
     """SNK-04/05: keyed upsert into the table at ``path``.
 
     Only partitions that can change are read and rewritten: those of the source
@@ -189,14 +189,14 @@ def upsert_table(
     executor costs a task, not the table.  Errors surface; the table is created
     only when it is missing (D4).  Columns that either side lacks are NULL there; a
     source without a column keeps the stored values.  NULL keys are refused.  ``staged`` says that the source is a stored
-    frame already."""
+    frame already.  Returns the values of the partitions that were rewritten."""
     spark = source.sparkSession
     scratch = []
     if not staged:
         source, source_path = stage(source, "source")
         scratch.append(source_path)
     try:
-        _upsert_stored(
+        return _upsert_stored(
             source, path, keys, partition_cols, set_when_matched, when, newest_by,
             key_fixes_partition, scratch,
         )
@@ -207,7 +207,7 @@ def upsert_table(
 
 def _upsert_stored(
     source, path, keys, partition_cols, set_when_matched, when, newest_by, key_fixes_partition, scratch
-) -> None:
+) -> list[Row]:
     spark = source.sparkSession
     merging.require_keys(source, keys)
     if not newest_by:
@@ -215,18 +215,20 @@ def _upsert_stored(
     if not exists(spark, path):
         first = merging.newest(source, keys, newest_by) if newest_by else source
         _publish(first, path, partition_cols)
-        return
+        return first.select(*partition_cols).distinct().collect() if partition_cols else []
 
     target = read(spark, path)
     moving = bool(partition_cols) and not key_fixes_partition
-    old_partitions = None
+    old_partitions, rewritten = None, []
     if partition_cols:
         touched = source.select(*partition_cols)
         if moving:
             old_partitions, old_path = stage(candidate_partitions(source, path, keys, partition_cols), "candidates")
             scratch.append(old_path)
             touched = touched.union(old_partitions)
-        target = restrict(target, touched.distinct(), partition_cols)
+        # One value per touched partition, whose folders the driver lists anyway.
+        rewritten = touched.distinct().collect()
+        target = among(target, rewritten, partition_cols)
 
     merged, merged_path = stage(
         _merged(target, source, keys, set_when_matched, when, newest_by), "merged"
@@ -234,7 +236,7 @@ def _upsert_stored(
     scratch.append(merged_path)
     if not moving:
         _publish(merged, path, partition_cols)
-        return
+        return rewritten
     # Old partitions that the merged rows do not reach are emptied by keys that moved
     # away.  Found, and their folders named, before anything is published.
     emptied = _emptied(old_partitions, merged, partition_cols)
@@ -249,6 +251,7 @@ def _upsert_stored(
     _write_keys(hashes, path, partition_cols, "overwrite")
     for folder in emptied:
         hashes.select(KEY_HASH).limit(0).write.mode("overwrite").parquet(f"{_digest_path(path)}/{folder}")
+    return rewritten
 
 
 def _merged(target, source, keys, set_when_matched, when, newest_by) -> DataFrame:
@@ -270,7 +273,11 @@ def _publish(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
 def restrict(df: DataFrame, partitions: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Rows of the given partitions; the literal list prunes directories, of which the
     driver lists every one anyway."""
-    values = partitions.distinct().collect()
+    return among(df, partitions.distinct().collect(), partition_cols)
+
+
+def among(df: DataFrame, values: Sequence[Row], partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of the partitions with these values."""
     if len(partition_cols) == 1:
         present = [v[0] for v in values if v[0] is not None]
         condition = F.col(partition_cols[0]).isin(present)

@@ -5,9 +5,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators import merge as merging
+from contrail.operators import hashing, merge as merging
 from contrail.session import path_exists, shared_dir
-from contrail.sources import files, ledger, tables
+from contrail.sources import files, ledger, sums, tables
 
 DDL = "k int, d date, v string, t int"
 
@@ -42,8 +42,8 @@ def test_moving_keys_read_candidate_partitions_only(spark, tmp_path, rows, monke
     path = str(tmp_path / "t")
     tables.upsert_table(frame(spark, *[(k, 1 + k % 20, "a", 1) for k in range(200)]), path, ["k"], ["d"])
     seen = []
-    restrict = tables.restrict
-    monkeypatch.setattr(tables, "restrict", lambda df, parts, cols: seen.append(sorted(r[0] for r in parts.select(F.day("d")).collect())) or restrict(df, parts, cols))
+    among = tables.among
+    monkeypatch.setattr(tables, "among", lambda df, values, cols: seen.append(sorted(v.d.day for v in values)) or among(df, values, cols))
     files_of = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("d=*/*.parquet")}
     before = files_of()
     for _ in range(2):
@@ -59,6 +59,30 @@ def test_moving_keys_read_candidate_partitions_only(spark, tmp_path, rows, monke
     assert "_keys" in plan and "/t/d=" not in plan and rows(digest.select(F.day("d"))) == [(25,)]
 
 
+def test_kept_sums_equal_the_hash_of_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    hashed = ["k", "d", "v"]
+    whole = lambda: hashing.multiset_hash(tables.read(spark, path), hashed).first()
+    data = frame(spark, *[(k, 1 + k % 20, "a", 1) for k in range(200)]).withColumn("d", F.when(F.col("k") % 9 > 0, F.col("d")))
+    tables.upsert_table(data, path, ["k"], ["d"])
+    sums.build(spark, path, hashed, ["d"])
+    assert sums.content_hash(spark, path).first() == whole()
+    read = []
+    among = tables.among
+    monkeypatch.setattr(tables, "among", lambda df, values, cols: read.append(len(values)) or among(df, values, cols))
+    # Keys move to another day, to none, and leave the 25th empty again.
+    for change in ((3, 25, "b"), (7, 8, "c")), ((3, 2, "b"), (500, 25, "x")), ((500, 1, "y"), (3, 2, "z")):
+        rewritten = tables.upsert_table(frame(spark, *[(*c, 2) for c in change]), path, ["k"], ["d"])
+        sums.refresh(spark, path, hashed, ["d"], rewritten)
+        assert sums.content_hash(spark, path).first() == whole()
+    assert max(read) <= 4 and len(read) == 6
+    sums.refresh(spark, path, hashed, ["d"], [])
+    empty = str(tmp_path / "e")
+    tables.overwrite(tables.read(spark, path).limit(0), empty, ["d"])
+    sums.build(spark, empty, hashed, ["d"])
+    assert sums.content_hash(spark, empty).first()["content_hash"] == "EMPTY"
+
+
 def test_digest_outlives_a_lost_run_and_no_other_write(spark, tmp_path, rows, monkeypatch):
     path = str(tmp_path / "t")
     tables.upsert_table(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1)), path, ["k"], ["d"])
