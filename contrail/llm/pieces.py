@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -11,9 +12,10 @@ KEEP_CHUNKS, KEEP_IDS = 400_000, 4_000_000
 
 
 class ChunkStore:
-    """Ids of chunks, flat, with a range per chunk.  ``split`` gives the ids of new chunks."""
+    """Ids of chunks, flat, with a range per chunk.  ``split`` gives the ids of new chunks, end
+    to end, and how many each has."""
 
-    def __init__(self, split: Callable[[list[str]], Iterable[np.ndarray]]):
+    def __init__(self, split: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self._split = split
         self._clear()
 
@@ -25,28 +27,28 @@ class ChunkStore:
         self._letters = 0
 
     def _add(self, chunks: list[str]) -> None:
-        for chunk, ids in zip(chunks, self._split(chunks), strict=True):
-            at = len(self._index)
-            self._index[chunk] = at
-            if at + 2 > len(self._starts):
-                self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-            while self._used + len(ids) > len(self._flat):
-                self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
-            self._flat[self._used : self._used + len(ids)] = ids
-            self._used += len(ids)
-            self._starts[at + 1] = self._used
-            self._letters += len(chunk)
+        ids, lengths = self._split(chunks)
+        at, used = len(self._index), self._used + len(ids)
+        while at + len(chunks) + 1 > len(self._starts):
+            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
+        while used > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
+        self._flat[self._used : used] = ids
+        self._starts[at + 1 : at + len(chunks) + 1] = self._used + np.cumsum(lengths)
+        self._index.update(zip(chunks, range(at, at + len(chunks)), strict=True))
+        self._used = used
+        self._letters += sum(map(len, chunks))
 
     def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text ends.  A text is its chunks."""
         if len(self._index) > KEEP_CHUNKS or self._used > KEEP_IDS or self._letters > 8 * KEEP_IDS:
             self._clear()
         known = self._index
-        new = list(dict.fromkeys(c for chunks in texts for c in chunks if c not in known))
+        new = set(chain.from_iterable(texts)).difference(known)
         if new:
-            self._add(new)
+            self._add(list(new))
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        at = np.fromiter((known[c] for chunks in texts for c in chunks), np.int64, int(lengths.sum()))
+        at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
         begin = self._starts[at]
         count = self._starts[at + 1] - begin
         total = np.concatenate([[0], np.cumsum(count)])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -94,8 +95,10 @@ class Codec:
         self._store = ChunkStore(self._segment)
         self.bos, self.eos = self._library.bos_id(), self._library.eos_id()
 
-    def _segment(self, chunks: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.uint32) for ids in self._segments.encode(chunks, num_threads=1)]
+    def _segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._segments.encode(chunks, num_threads=1)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its bytes (and its end) the source byte."""

@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -68,13 +67,14 @@ class WordCodec:
         )
         self._store = ChunkStore(self._split)
 
-    def _split(self, words: list[str]) -> Iterator[np.ndarray]:
+    def _split(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lengths = [], []
         for at in range(0, len(words), _WORDS_AT_ONCE):
             some = words[at : at + _WORDS_AT_ONCE]
             found = self._library.encode(" ".join(some), add_special_tokens=False)
-            own = np.array(found.word_ids, np.int64)
-            ids = np.array(found.ids, np.uint32)
-            yield from np.split(ids, np.searchsorted(own, np.arange(1, len(some))))
+            ids.append(np.array(found.ids, np.uint32))
+            lengths.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(lengths)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = [i for i, t in enumerate(texts) if not self._by_word or self._other.search(t)]
