@@ -26,6 +26,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> Dat
     return one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in by])
 
 
+def latest_per_key_counted(df: DataFrame, keys: Sequence[str], by: Sequence[str], rows: str) -> DataFrame:
+    """``latest_per_key`` with the number of rows of the key as ``rows``, in the same pass.
+
+    One aggregate that combines before the shuffle: the greatest row by ``by`` and then by the
+    other columns, whose types must be orderable, and a count."""
+    rest = [c for c in df.columns if c not in keys and c not in by]
+    greatest = F.max(F.struct(*by, *rest)).alias("_greatest")
+    grouped = df.groupBy(*keys).agg(greatest, F.count(F.lit(1)).alias(rows))
+    named = [F.col(c) if c in keys else F.col(f"_greatest.{c}").alias(c) for c in df.columns]
+    return grouped.select(*named, rows)
+
+
 def earliest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """DED-02: smallest ``by`` columns win, NULL counts as newest."""
     return one_per_key(df, keys, [F.col(c).asc_nulls_last() for c in by])

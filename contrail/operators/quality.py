@@ -6,10 +6,10 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from contrail.functions.times import lag_minutes
-from contrail.schemas import CORRUPT
+from contrail.schemas import CORRUPT, METRICS
 
 
 def null_counts(columns: Sequence[str]) -> Column:
@@ -62,13 +62,55 @@ def counts_json(conditions: Mapping[str, Column]) -> Column:
     return F.to_json(F.struct(*[F.count_if(c).alias(name) for name, c in conditions.items()]))
 
 
+def _measures(
+    df: DataFrame,
+    processed_ts: datetime,
+    rows_in: int | Column | None,
+    exclude: Sequence[str],
+    unknown: Column | None,
+    fresh: str | None,
+    extras: Column | None,
+) -> dict[str, Column]:
+    """The aggregates of a metrics row, of those that are asked for."""
+    profiled = [c for c in df.columns if c not in set(exclude)]
+    rows, corrupt = F.count(F.lit(1)), corrupt_count(df)
+    rows_out = rows - corrupt
+    if rows_in is None:
+        before = rows
+    else:
+        before = F.coalesce(rows_in, F.lit(0)) if isinstance(rows_in, Column) else F.lit(rows_in)
+    found = {
+        "rows_in": before.cast("bigint"),
+        "rows_out": rows_out,
+        "corrupt_rows": corrupt,
+        "nulls_json": null_counts(profiled),
+        "status": F.when(corrupt > 0, F.lit("warn")).otherwise(F.lit("ok")),
+    }
+    if rows_in is not None:
+        found["dup_ratio"] = F.try_divide(before - rows_out, before).cast("double")
+    if unknown is not None:
+        found["unknown_pct"] = unknown_ratio(unknown)
+    if fresh is not None:
+        found["freshness_lag_minutes"] = freshness_lag(fresh, processed_ts)
+    if extras is not None:
+        found["extras_json"] = extras
+    return found
+
+
+def _fixed(df: DataFrame, dataset: str, source_key: str, ingest_id: str, processed_ts: datetime, notes: str) -> dict:
+    return {
+        "dataset": dataset, "source_key": source_key, "ingest_id": ingest_id, "processed_ts": processed_ts,
+        "columns_json": schema_json(df), "notes": notes,
+    }
+
+
 def run_metrics(
     df: DataFrame,
     dataset: str,
     source_key: str,
     ingest_id: str,
     processed_ts: datetime,
-    rows_in: int | None = None,
+    rows_in: int | Column | None = None,
     exclude: Sequence[str] = (),
     unknown: Column | None = None,
     fresh: str | None = None,
@@ -77,32 +119,49 @@ def run_metrics(
 ) -> DataFrame:
     """AGG-14: one typed row for the metrics table, from a single pass.
 
-    ``rows_in`` is the true input count of a deduplicated table (D14); without it
-    there is no duplicate ratio.  Malformed records are counted in but not out
-    and turn the status to ``warn``.  ``fresh`` names the column behind the lag,
+    ``rows_in`` is the true input count of a deduplicated table (D14), a number or an
+    aggregate; without it there is no duplicate ratio.  Malformed records are counted in but
+    not out and turn the status to ``warn``.  ``fresh`` names the column behind the lag,
     measured at ``processed_ts``."""
-    profiled = [c for c in df.columns if c not in set(exclude)]
-    null_double = F.lit(None).cast("double")
-    rows, corrupt = F.count(F.lit(1)), corrupt_count(df)
-    rows_out = rows - corrupt
-    before = rows if rows_in is None else F.lit(rows_in).cast("bigint")
-    duplicates = null_double if rows_in is None else F.try_divide(before - rows_out, before)
-    return df.agg(
-        F.lit(dataset).alias("dataset"),
-        F.lit(source_key).alias("source_key"),
-        F.lit(ingest_id).alias("ingest_id"),
-        F.lit(processed_ts).cast("timestamp").alias("processed_ts"),
-        before.alias("rows_in"),
-        rows_out.alias("rows_out"),
-        corrupt.alias("corrupt_rows"),
-        null_counts(profiled).alias("nulls_json"),
-        F.lit(schema_json(df)).alias("columns_json"),
-        duplicates.cast("double").alias("dup_ratio"),
-        (null_double if unknown is None else unknown_ratio(unknown)).alias("unknown_pct"),
-        (null_double if fresh is None else freshness_lag(fresh, processed_ts)).alias(
-            "freshness_lag_minutes"
-        ),
-        (F.lit(None).cast("string") if extras is None else extras).alias("extras_json"),
-        F.when(corrupt > 0, F.lit("warn")).otherwise(F.lit("ok")).alias("status"),
-        F.lit(notes).alias("notes"),
-    )
+    values = {k: F.lit(v) for k, v in _fixed(df, dataset, source_key, ingest_id, processed_ts, notes).items()}
+    values |= _measures(df, processed_ts, rows_in, exclude, unknown, fresh, extras)
+    fields = df.sparkSession.createDataFrame([], METRICS).schema.fields
+    return df.agg(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+class ObservedRun:
+    """AGG-14 without a pass of its own: the same row, taken while ``frame`` is written.
+
+    The aggregates are observed at the top of the plan, in the stage that writes, whose
+    tasks count once each however often executors are lost."""
+
+    def __init__(
+        self,
+        df: DataFrame,
+        dataset: str,
+        source_key: str,
+        ingest_id: str,
+        processed_ts: datetime,
+        rows_in: Column | None = None,
+        counted: str | None = None,
+        exclude: Sequence[str] = (),
+        unknown: Column | None = None,
+        fresh: str | None = None,
+        extras: Column | None = None,
+        notes: str = "",
+    ):
+        """``counted`` is a column of ``df`` with the input rows that a row stands for; it is
+        dropped.  ``rows_in`` gives their sum otherwise."""
+        whole = df.drop(counted) if counted else df
+        rows_in = F.sum(counted) if counted else rows_in
+        measures = _measures(whole, processed_ts, rows_in, exclude, unknown, fresh, extras)
+        self._spark, self._observation = df.sparkSession, Observation()
+        self._fixed = _fixed(whole, dataset, source_key, ingest_id, processed_ts, notes)
+        observed = df.observe(self._observation, *[c.alias(name) for name, c in measures.items()])
+        self.frame = observed.drop(counted) if counted else observed
+
+    def row(self) -> DataFrame:
+        """The metrics row, once ``frame`` has been written."""
+        values = {**self._fixed, **self._observation.get}
+        schema = self._spark.createDataFrame([], METRICS).schema
+        return self._spark.createDataFrame([tuple(values.get(f.name) for f in schema.fields)], schema)

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.functions import text, times
-from contrail.operators.dedupe import distinct_values, latest_per_key
+from contrail.operators.dedupe import distinct_values, latest_per_key, latest_per_key_counted
 from contrail.operators.project import (
     add_layer_metadata,
     require_keys,
@@ -31,24 +31,26 @@ def fact_flights(
     run_ts: datetime,
     version: str = "v1.0.0",
     run_id: str = "manual",
+    counted: str | None = None,
 ) -> DataFrame:
     """FCT-01: both feeds by name, the freshest row per flight."""
     both = union_by_name(
         select_allowlist(departures, FLIGHTS_COLUMNS), select_allowlist(arrivals, FLIGHTS_COLUMNS)
     )
-    return freshest_flights(both, run_ts, version, run_id)
+    return freshest_flights(both, run_ts, version, run_id, counted)
 
 
 def freshest_flights(
-    both: DataFrame, run_ts: datetime, version: str = "v1.0.0", run_id: str = "manual"
+    both: DataFrame, run_ts: datetime, version: str = "v1.0.0", run_id: str = "manual", counted: str | None = None
 ) -> DataFrame:
-    """FCT-01 from one frame of all feeds."""
+    """FCT-01 from one frame of all feeds; ``counted`` names a column for the rows of a flight."""
     order = [
         c
         for c in ("_silver_ts", "_ingest_ts", "_source_file", "callsign_norm")
         if c in both.columns
     ]
-    unique = latest_per_key(both, ["flight_id"], order)
+    keys = ["flight_id"]
+    unique = latest_per_key_counted(both, keys, order, counted) if counted else latest_per_key(both, keys, order)
     source = "silver.flights_departure+arrival"
     return _stamp(unique, source, "build_fact_flights", run_ts, version, run_id)
 

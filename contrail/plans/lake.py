@@ -11,7 +11,9 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from contrail import schemas
 from contrail.operators import hashing, quality
+from contrail.operators.enrich import Dimension
 from contrail.plans import bronze, gold, silver
 from contrail.session import discard, pin_utc, stage
 from contrail.sources import files, ledger, tables
@@ -19,6 +21,8 @@ from contrail.sources import files, ledger, tables
 EXPORTED = (
     "fact_flights", "fact_states", "dim_airports", "dim_airlines_prefixes", "dim_airlines", "dim_dates",
 )
+# Column with the rows that a deduplicated row stands for, while it is staged.
+COUNTED = "_rows"
 FLIGHT_FEEDS = {"flights_departure": "dep_date_utc", "flights_arrival": "arr_date_utc"}
 
 
@@ -107,9 +111,12 @@ def _load(spark, lake, dataset, batch, ddl, run_id, run_ts, tagged) -> None:
 
 
 def write_bronze(lake: Lake, dataset: str, frame: DataFrame, run_id: str, run_ts: datetime) -> None:
-    """Parse once, then table, quarantine and metrics from the stored result."""
+    """Parse once: the metrics are taken while the frame is staged; then table and quarantine."""
     spark = frame.sparkSession
-    staged, path = stage(frame, dataset)
+    run = quality.ObservedRun(
+        frame, dataset, f"batch://{dataset}/{run_id}", run_id, run_ts, exclude=bronze.METADATA
+    )
+    staged, path = stage(run.frame, dataset)
     try:
         tables.replace_partitions(
             bronze.accepted(staged), lake.table("bronze", dataset), bronze.PARTITION
@@ -117,10 +124,7 @@ def write_bronze(lake: Lake, dataset: str, frame: DataFrame, run_id: str, run_ts
         malformed = bronze.quarantined(staged)
         if not malformed.isEmpty():
             tables.replace_partitions(malformed, lake.table("quarantine", dataset), bronze.PARTITION)
-        metrics = quality.run_metrics(
-            staged, dataset, f"batch://{dataset}/{run_id}", run_id, run_ts, exclude=bronze.METADATA
-        )
-        _write_metrics(lake, "bronze", metrics)
+        _write_metrics(lake, "bronze", run.row())
     finally:
         discard(spark, path)
 
@@ -142,11 +146,11 @@ def ingest_snapshot(
     if not ledger.change_gate(current, manifest).first()["needs_processing"]:
         return False
     frame = bronze.bronze_frame(files.read_csv(spark, file, ddl), run_id, run_ts)
-    staged, path = stage(frame, dataset)
+    run = quality.ObservedRun(frame, dataset, file, run_id, run_ts, exclude=bronze.METADATA)
+    staged, path = stage(run.frame, dataset)
     try:
         tables.overwrite(staged, lake.table("bronze", dataset))
-        metrics = quality.run_metrics(staged, dataset, file, run_id, run_ts, exclude=bronze.METADATA)
-        _write_metrics(lake, "bronze", metrics)
+        _write_metrics(lake, "bronze", run.row())
     finally:
         discard(spark, path)
     _record_run(
@@ -173,7 +177,7 @@ def _refresh_silver(
     spark: SparkSession,
     lake: Lake,
     dataset: str,
-    build: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    build: Callable[[DataFrame], DataFrame],
     key: Sequence[str],
     partition: str,
     run_id: str,
@@ -188,8 +192,21 @@ def _refresh_silver(
         return 0
     # A partition column: only the new batches are read.
     batch = tables.read(spark, lake.table("bronze", dataset)).where(F.col("_ingest_id").isin(pending))
-    before, result = build(batch)
-    staged, path = stage(result, dataset)
+    # Each row says how many it stands for, so the input is counted by the pass that stages it.
+    run = quality.ObservedRun(
+        build(batch),
+        f"silver.{dataset}",
+        f"batch://silver.{dataset}/{run_id}",
+        run_id,
+        run_ts,
+        counted=COUNTED,
+        exclude=silver.LINEAGE,
+        unknown=unknown,
+        fresh="_ingest_ts",
+        extras=extras,
+        notes=f"silver.{dataset} upsert ok",
+    )
+    staged, path = stage(run.frame, dataset)
     try:
         # Before the upsert: gold looks at these partitions for this run.  Should the run be
         # lost, the next one takes the same batches and enters them again.
@@ -205,20 +222,7 @@ def _refresh_silver(
             key_fixes_partition=True,
             staged=True,
         )
-        metrics = quality.run_metrics(
-            staged,
-            f"silver.{dataset}",
-            f"batch://silver.{dataset}/{run_id}",
-            run_id,
-            run_ts,
-            rows_in=before.count(),
-            exclude=silver.LINEAGE,
-            unknown=unknown,
-            fresh="_ingest_ts",
-            extras=extras,
-            notes=f"silver.{dataset} upsert ok",
-        )
-        _write_metrics(lake, "silver", metrics)
+        _write_metrics(lake, "silver", run.row())
     finally:
         discard(spark, path)
     _record_run(spark, lake, "silver", f"silver.{dataset}", pending, run_id, run_ts, version)
@@ -230,8 +234,8 @@ def refresh_states(
 ) -> int:
     """SLV-01 for the new bronze batches."""
 
-    def build(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return silver.clean_states(batch), silver.silver_states(batch, run_ts, version)
+    def build(batch: DataFrame) -> DataFrame:
+        return silver.silver_states(batch, run_ts, version, COUNTED)
 
     outliers = quality.counts_json(
         {
@@ -257,9 +261,8 @@ def refresh_flights(
     airlines = tables.read(spark, lake.table("silver", "ref_airlines_prefixes"))
     airports = tables.read(spark, lake.table("silver", "ref_airports"))
 
-    def build(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        flights = silver.silver_flights(batch, airlines, airports, f"bronze.{dataset}", run_ts, version)
-        return silver.identify_flights(batch), flights
+    def build(batch: DataFrame) -> DataFrame:
+        return silver.silver_flights(batch, airlines, airports, f"bronze.{dataset}", run_ts, version, COUNTED)
 
     unknown = {"unknown_dep": F.col("unknown_dep"), "unknown_arr": F.col("unknown_arr")}
     return _refresh_silver(
@@ -270,10 +273,10 @@ def refresh_flights(
 
 _REFERENCES = {
     "ref_airlines_prefixes": (
-        silver.clean_ref_airlines, silver.silver_ref_airlines, ("prefix", "airline_name"), "airline_name",
+        silver.silver_ref_airlines, ("prefix", "airline_name"), "airline_name",
     ),
     "ref_airports": (
-        silver.clean_ref_airports, silver.silver_ref_airports,
+        silver.silver_ref_airports,
         ("icao", "iata", "name", "city", "region", "type"), "iata",
     ),
 }
@@ -289,26 +292,26 @@ def refresh_reference(
 ) -> str:
     """SLV-03/04: rebuild a reference snapshot; returns its content hash."""
     pin_utc(spark)
-    clean, build, hashed, checked = _REFERENCES[dataset]
+    build, hashed, checked = _REFERENCES[dataset]
     source = lake.table("bronze", dataset)
     raw = tables.read(spark, source)
-    staged, path = stage(build(raw, run_ts, version), dataset)
+    run = quality.ObservedRun(
+        build(raw, run_ts, version, COUNTED),
+        f"silver.{dataset}",
+        f"snapshot://silver.{dataset}",
+        run_id,
+        run_ts,
+        counted=COUNTED,
+        exclude=silver.LINEAGE,
+        unknown=F.col(checked).isNull(),
+        fresh="_ingest_ts",
+        extras=quality.counts_json({f"unknown_{checked}": F.col(checked).isNull()}),
+        notes=f"silver.{dataset} snapshot ok",
+    )
+    staged, path = stage(run.frame, dataset)
     try:
         tables.overwrite(staged, lake.table("silver", dataset))
-        metrics = quality.run_metrics(
-            staged,
-            f"silver.{dataset}",
-            f"snapshot://silver.{dataset}",
-            run_id,
-            run_ts,
-            rows_in=clean(raw).count(),
-            exclude=silver.LINEAGE,
-            unknown=F.col(checked).isNull(),
-            fresh="_ingest_ts",
-            extras=quality.counts_json({f"unknown_{checked}": F.col(checked).isNull()}),
-            notes=f"silver.{dataset} snapshot ok",
-        )
-        _write_metrics(lake, "silver", metrics)
+        _write_metrics(lake, "silver", run.row())
         content = hashing.content_hash(staged, hashed).first()["content_hash"]
     finally:
         discard(spark, path)
@@ -335,21 +338,36 @@ def _new_runs(spark: SparkSession, lake: Lake, dataset: str, feeds: Sequence[str
     return {feed: sorted(r["run"] for r in new if r["feed"] == feed) for feed in feeds}
 
 
+def _no_silver(spark: SparkSession, feed: str) -> DataFrame:
+    """No rows with the columns of a silver feed: what no raw rows give."""
+    lineage = "_ingest_id string, _ingest_ts timestamp, _source_file string, download_ts timestamp, download_date date"
+    ddl = schemas.STATES if feed == "states" else schemas.FLIGHTS
+    raw, now = spark.createDataFrame([], f"{ddl}, {lineage}"), F.current_timestamp()
+    if feed == "states":
+        return silver.silver_states(raw, now)
+    airlines = spark.createDataFrame([], "prefix string, airline_name string")
+    airports = spark.createDataFrame([], "icao string, iata string")
+    return silver.silver_flights(raw, Dimension(airlines, True), Dimension(airports, True), f"bronze.{feed}", now)
+
+
 def _days_of(spark: SparkSession, lake: Lake, feed: str, runs: Sequence[str], partition: str) -> DataFrame:
-    """The silver rows of the days that ``runs`` wrote; a partition filter on the table."""
+    """The silver rows of the days that ``runs`` wrote; a partition filter on the table.  A feed
+    without a table yet has none."""
+    stored = [lake.table("silver", feed), lake.table("meta", "silver_days")]
+    if not all(tables.exists(spark, path) for path in stored):
+        return _no_silver(spark, feed)
     days = tables.read(spark, lake.table("meta", "silver_days"))
     days = days.where((F.col("dataset") == feed) & F.col("run_id").isin(list(runs)))
     table = tables.read(spark, lake.table("silver", feed))
     return tables.restrict(table, days.select(F.col("day").alias(partition)), [partition])
 
 
-def _finish_gold(
-    spark, lake, dataset, result, run_id, run_ts, version, rows_in=None, extras=None, taken=()
-) -> None:
-    metrics = quality.run_metrics(
-        result, dataset, f"batch://{dataset}/{run_id}", run_id, run_ts, rows_in=rows_in, extras=extras
-    )
-    _write_metrics(lake, "gold", metrics)
+def _observed_gold(dataset, frame, run_id, run_ts, **measures) -> quality.ObservedRun:
+    return quality.ObservedRun(frame, dataset, f"batch://{dataset}/{run_id}", run_id, run_ts, **measures)
+
+
+def _finish_gold(spark, lake, dataset, run, run_id, run_ts, version, taken=()) -> None:
+    _write_metrics(lake, "gold", run.row())
     _record_run(spark, lake, "gold", dataset, [f"run://{run_id}", *taken], run_id, run_ts, version)
 
 
@@ -368,7 +386,9 @@ def refresh_fact_flights(
     dep, arr = (
         _days_of(spark, lake, feed, runs[feed], partition) for feed, partition in FLIGHT_FEEDS.items()
     )
-    staged, path = stage(gold.fact_flights(dep, arr, run_ts, version, run_id), "fact_flights")
+    facts = gold.fact_flights(dep, arr, run_ts, version, run_id, COUNTED)
+    run = _observed_gold(dataset, facts, run_id, run_ts, counted=COUNTED)
+    staged, path = stage(run.frame, "fact_flights")
     try:
         tables.upsert_table(
             staged,
@@ -379,10 +399,7 @@ def refresh_fact_flights(
             key_fixes_partition=True,
             staged=True,
         )
-        rows_in = dep.count() + arr.count()
-        _finish_gold(
-            spark, lake, dataset, staged, run_id, run_ts, version, rows_in, taken=_taken(runs)
-        )
+        _finish_gold(spark, lake, dataset, run, run_id, run_ts, version, _taken(runs))
     finally:
         discard(spark, path)
 
@@ -395,13 +412,16 @@ def refresh_fact_states(
     dataset = "gold.fact_states"
     runs = _new_runs(spark, lake, dataset, ["states"])
     source = _days_of(spark, lake, "states", runs["states"], "event_date_utc")
-    staged, path = stage(gold.fact_states(source, run_ts, version, run_id), "fact_states")
+    expected = F.lit(gold.EXPECTED_PINGS_PER_DAY)
+    # A fact counts its pings, so they need no other pass.
+    run = _observed_gold(
+        dataset, gold.fact_states(source, run_ts, version, run_id), run_id, run_ts, rows_in=F.sum("pings_count"),
+        extras=F.to_json(F.struct(F.coalesce(F.max(expected), expected).alias("expected_pings_per_day"))),
+    )
+    staged, path = stage(run.frame, "fact_states")
     try:
         tables.replace_partitions(staged, lake.table("gold", "fact_states"), ["event_date_utc"])
-        extras = F.to_json(F.struct(F.lit(gold.EXPECTED_PINGS_PER_DAY).alias("expected_pings_per_day")))
-        _finish_gold(
-            spark, lake, dataset, staged, run_id, run_ts, version, source.count(), extras, _taken(runs)
-        )
+        _finish_gold(spark, lake, dataset, run, run_id, run_ts, version, _taken(runs))
     finally:
         discard(spark, path)
 
@@ -424,10 +444,11 @@ def refresh_dimensions(
     }
     for name, (build, reference, key) in upserted.items():
         source = tables.read(spark, lake.table("silver", reference))
-        staged, path = stage(build(source, run_ts, version, run_id), name)
+        run = _observed_gold(f"gold.{name}", build(source, run_ts, version, run_id), run_id, run_ts)
+        staged, path = stage(run.frame, name)
         try:
             tables.upsert_table(staged, lake.table("gold", name), [key], staged=True)
-            _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
+            _finish_gold(spark, lake, f"gold.{name}", run, run_id, run_ts, version)
         finally:
             discard(spark, path)
     facts = tables.read(spark, lake.table("gold", "fact_flights"))
@@ -436,10 +457,11 @@ def refresh_dimensions(
         "dim_dates": gold.dim_dates(spark, as_of, run_ts, years_back, years_fwd, version, run_id),
     }
     for name, frame in replaced.items():
-        staged, path = stage(frame, name)
+        run = _observed_gold(f"gold.{name}", frame, run_id, run_ts)
+        staged, path = stage(run.frame, name)
         try:
             tables.overwrite(staged, lake.table("gold", name))
-            _finish_gold(spark, lake, f"gold.{name}", staged, run_id, run_ts, version)
+            _finish_gold(spark, lake, f"gold.{name}", run, run_id, run_ts, version)
         finally:
             discard(spark, path)
 

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from contrail.functions import checks, text, times
-from contrail.operators.dedupe import latest_per_key
+from contrail.operators.dedupe import latest_per_key, latest_per_key_counted
 from contrail.operators.enrich import Dimension, join_dimension
 from contrail.operators.project import add_layer_metadata, require_keys, select_allowlist
 
@@ -71,13 +71,24 @@ def clean_states(bronze: DataFrame) -> DataFrame:
     return require_keys(derived, *STATES_KEY)
 
 
-def silver_states(bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0") -> DataFrame:
-    """SLV-01: one row per aircraft and second, the last ingested."""
+def _latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], counted: str | None) -> DataFrame:
+    return latest_per_key_counted(df, keys, order, counted) if counted else latest_per_key(df, keys, order)
+
+
+def _published(df: DataFrame, columns: Sequence[str], counted: str | None) -> DataFrame:
+    return select_allowlist(df, [*columns, counted] if counted else columns)
+
+
+def silver_states(
+    bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0", counted: str | None = None
+) -> DataFrame:
+    """SLV-01: one row per aircraft and second, the last ingested.  ``counted`` (here and below)
+    names a column for the number of rows that the row stands for."""
     clean = clean_states(bronze)
     order = _present(clean, ["_ingest_ts", "_source_file", "velocity_mps", "geo_alt_m"])
-    unique = latest_per_key(clean, STATES_KEY, order)
+    unique = _latest(clean, STATES_KEY, order, counted)
     stamped = add_layer_metadata(unique, "silver", "bronze.states", run_ts, version)
-    return select_allowlist(stamped, STATES_COLUMNS)
+    return _published(stamped, STATES_COLUMNS, counted)
 
 
 def identify_flights(bronze: DataFrame) -> DataFrame:
@@ -143,6 +154,7 @@ def silver_flights(
     source: str,
     run_ts: datetime,
     version: str = "v1.0.0",
+    counted: str | None = None,
 ) -> DataFrame:
     """SLV-02 for one feed.  ``airlines`` and ``airports`` are the clean silver
     references, unique on their keys, so the row count does not change (D5, D6).
@@ -150,9 +162,9 @@ def silver_flights(
     Duplicates go first and everything that follows from a flight's own columns
     is derived after them: the shuffle carries few columns, and repeated rows are
     neither derived nor enriched."""
-    flights = _unique_flights(bronze, airlines, airports)
+    flights = _unique_flights(bronze, airlines, airports, counted)
     stamped = add_layer_metadata(flights, "silver", source, run_ts, version)
-    return select_allowlist(stamped, FLIGHTS_COLUMNS)
+    return _published(stamped, FLIGHTS_COLUMNS, counted)
 
 
 def silver_flight_feeds(
@@ -178,10 +190,12 @@ def silver_flight_feeds(
     return select_allowlist(stamped, FLIGHTS_COLUMNS)
 
 
-def _unique_flights(bronze: DataFrame, airlines: DataFrame | Dimension, airports: DataFrame | Dimension) -> DataFrame:
+def _unique_flights(
+    bronze: DataFrame, airlines: DataFrame | Dimension, airports: DataFrame | Dimension, counted: str | None = None
+) -> DataFrame:
     identified = identify_flights(bronze)
     order = _present(identified, ["_ingest_ts", "_source_file", "callsign_norm"])
-    unique = latest_per_key(identified, FLIGHTS_KEY, order)
+    unique = _latest(identified, FLIGHTS_KEY, order, counted)
     return enrich_airports(enrich_airline(derive_flights(unique), airlines), airports)
 
 
@@ -194,12 +208,14 @@ def clean_ref_airlines(bronze: DataFrame) -> DataFrame:
     return require_keys(named, "prefix")
 
 
-def silver_ref_airlines(bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0") -> DataFrame:
+def silver_ref_airlines(
+    bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0", counted: str | None = None
+) -> DataFrame:
     """SLV-03."""
     clean = clean_ref_airlines(bronze)
-    unique = latest_per_key(clean, ["prefix"], _present(clean, ["_ingest_ts", "airline_name"]))
+    unique = _latest(clean, ["prefix"], _present(clean, ["_ingest_ts", "airline_name"]), counted)
     stamped = add_layer_metadata(unique, "silver", "bronze.ref_airlines_prefixes", run_ts, version)
-    return select_allowlist(stamped, AIRLINES_COLUMNS)
+    return _published(stamped, AIRLINES_COLUMNS, counted)
 
 
 def clean_ref_airports(bronze: DataFrame) -> DataFrame:
@@ -215,10 +231,12 @@ def clean_ref_airports(bronze: DataFrame) -> DataFrame:
     return require_keys(named, "icao")
 
 
-def silver_ref_airports(bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0") -> DataFrame:
+def silver_ref_airports(
+    bronze: DataFrame, run_ts: datetime, version: str = "v1.0.0", counted: str | None = None
+) -> DataFrame:
     """SLV-04."""
     clean = clean_ref_airports(bronze)
     order = _present(clean, ["_ingest_ts", "type", "name", "city", "iata", "region"])
-    unique = latest_per_key(clean, ["icao"], order)
+    unique = _latest(clean, ["icao"], order, counted)
     stamped = add_layer_metadata(unique, "silver", "bronze.ref_airports", run_ts, version)
-    return select_allowlist(stamped, AIRPORTS_COLUMNS)
+    return _published(stamped, AIRPORTS_COLUMNS, counted)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail import schemas
+from contrail.operators import quality
 from contrail.plans import gold, lake as jobs, silver
 from contrail.plans.lake import Lake
 from contrail.sources import files, ledger, tables
@@ -261,3 +262,35 @@ def test_a_repeated_run_leaves_one_metrics_row(spark, lake, raw, at, monkeypatch
     monkeypatch.setattr(jobs, "_record_run", real)
     jobs.refresh_states(spark, lake, "s1", at(2))
     assert tables.read(spark, lake.metrics("silver")).count() == 1
+
+
+def test_gold_of_an_empty_lake_has_no_rows_and_takes_later_runs(spark, lake, raw, tmp_path, at, rows):
+    jobs.refresh_fact_states(spark, lake, "g0", at(1))
+    jobs.refresh_fact_flights(spark, lake, "g0", at(1))
+    for name, key in (("fact_states", "icao24"), ("fact_flights", "flight_id")):
+        assert rows(tables.read(spark, lake.table("gold", name)), key) == []
+    put(raw, "states/date=2024-01-01/a.json.gz", [state("a", 5), state("a", 9)])
+    ingest_states(spark, lake, raw, "r1", at(2))
+    jobs.refresh_states(spark, lake, "s1", at(3))
+    jobs.refresh_fact_states(spark, lake, "g1", at(4))
+    assert rows(tables.read(spark, lake.table("gold", "fact_states")), "icao24", "pings_count") == [("A", 2)]
+
+
+def test_metrics_come_from_the_pass_that_writes(spark, lake, raw, at, monkeypatch):
+    """No job counts or aggregates a frame for its metrics; the row equals the separate aggregate."""
+    put(raw, "states/date=2024-01-01/a.json.gz", [state("a", 5), state("a", 5, 400.0), state("b", 9), state(None, 1)], "{oops")
+    frames = []
+    observed = quality.ObservedRun.__init__
+    monkeypatch.setattr(quality.ObservedRun, "__init__", lambda self, df, *a, **k: frames.append((df, a, k)) or observed(self, df, *a, **k))
+    monkeypatch.setattr(quality, "run_metrics", lambda *a, **k: pytest.fail("a pass for metrics"))
+    ingest_states(spark, lake, raw, "r1", at(1))
+    jobs.refresh_states(spark, lake, "s1", at(2))
+    jobs.refresh_fact_states(spark, lake, "g1", at(3))
+    monkeypatch.undo()
+    assert len(frames) == 3
+    for layer, (df, args, options) in zip(("bronze", "silver", "gold"), frames, strict=True):
+        stored = tables.read(spark, lake.metrics(layer)).select(*[f.name for f in df.sparkSession.createDataFrame([], schemas.METRICS).schema]).first()
+        if counted := options.pop("counted", None):
+            options["rows_in"] = df.agg(F.sum(counted)).first()[0]
+        assert stored == quality.run_metrics(df.drop(jobs.COUNTED), *args, **options).first()
+    assert tables.read(spark, lake.metrics("silver")).first()["rows_in"] == 3
