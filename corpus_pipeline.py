@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.llm import language_id, minhash, pii
 from contrail.llm.queries import pack_documents
+from contrail.operators.dedupe import one_per_key
 from contrail.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,9 +23,18 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    groups = minhash.near_documents(docs).filter("kept").select("doc_id")
-    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near copies: the one with the smallest id.
+
+    Of rows that share that id one stays, the first by its columns.  Rows without an id belong
+    to no group that could name them: one of each text stays."""
+    named = docs.filter("doc_id is not null")
+    ids, _ = stage(minhash.near_documents(named).filter("kept").select("doc_id").distinct(), "pipeline-kept")
+    shared = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    of_groups = named.join(ids, "doc_id", "left_semi")
+    alone = of_groups.join(shared, "doc_id", "left_anti")
+    first = one_per_key(of_groups.join(shared, "doc_id", "left_semi"), ["doc_id"], docs.columns)
+    unnamed = one_per_key(docs.filter("doc_id is null"), ["text"], docs.columns)
+    return alone.unionByName(first).unionByName(unnamed).select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
