@@ -19,9 +19,11 @@ UNDECIDED = "und"
 #: Bound of the labelled sample: documents per language, characters of each, bytes of a
 #: dictionary.  The documents are those with the smallest hashes.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2_000, 112_640
+#: Parts of the labelled rows in which the smallest hashes are looked for first.
+SAMPLE_PARTS = 64
 #: A text is compressed in blocks, so that it leans on the dictionary and not on itself.
 BLOCK_BYTES, LEVEL = 512, 6
-#: A text of one block is measured behind this, by what it adds: alone, a short one is stored
+#: What does not fill a block is measured behind this, by what it adds: alone, it would be stored
 #: raw under every dictionary.  Words hold no digits, so the filler meets none.
 FILLER, SHORTEST_MATCH = b"0" * BLOCK_BYTES, 3
 #: The best size must be this share smaller than the second; else the text is rejected.
@@ -30,7 +32,11 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> bytes:
-    return " ".join(_WORD.findall(text.lower())).encode()
+    """The runs of letters.  Signs such as ² or Ⅷ belong to words for ``re``, but are no letters."""
+    found = " ".join(_WORD.findall(text.lower()))
+    if not found.replace(" ", "a").isalpha():
+        found = " ".join("".join(c if c.isalpha() else " " for c in found).split())
+    return found.encode()
 
 
 class Model(NamedTuple):
@@ -47,26 +53,32 @@ def train(
     """Dictionaries from labelled documents: at most ``sample_docs`` per language.
 
     Rows without label, text or id are left out; no labelled rows give a model of no
-    language, which rejects everything."""
+    language, which rejects everything.  All documents of the sample enter the dictionary, each
+    with an equal share of ``DICTIONARY_BYTES``."""
     keyed = df.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     narrow = keyed.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = narrow.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample_docs)
-    ids = [r["id"] for r in chosen.select("id").distinct().collect()]
+    # The smallest hashes of parts first, so that no task sees the smallest of all tasks.
+    part = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(SAMPLE_PARTS))
+    chosen = narrow
+    for keys in (["lang", "_part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("h", "id")
+        ranked = chosen.withColumn("_part", part).withColumn("_n", F.row_number().over(order))
+        chosen = ranked.filter(F.col("_n") <= sample_docs).select("id", "lang", "h")
+    # At most ``sample_docs`` ids per language.
+    ids = F.broadcast(chosen.select(F.col("id").alias(id_col), F.col("lang").alias("_lang")).distinct())
     rows = (
-        keyed.filter(F.col(id_col).isin(ids))
+        keyed.join(ids, (keyed[id_col] == ids[id_col]) & (keyed[lang_col] == ids["_lang"]), "left_semi")
         .select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
         .dropDuplicates(["lang", "h"])
         .orderBy("lang", "h")
         .collect()
-        if ids
-        else []
     )
-    by: dict[str, bytes] = {}
+    by: dict[str, list[bytes]] = {}
     for row in rows:
-        by[row["lang"]] = by.get(row["lang"], b"") + words(row["t"]) + b"\n"
+        by.setdefault(row["lang"], []).append(words(row["t"]))
     names = sorted(by)
-    return Model(names, [by[n][:DICTIONARY_BYTES] for n in names])
+    share = {n: max(1, DICTIONARY_BYTES // len(by[n]) - 1) for n in names}
+    return Model(names, [b"".join(t[: share[n]] + b"\n" for t in by[n])[:DICTIONARY_BYTES] for n in names])
 
 
 class _Sizes:
@@ -94,12 +106,13 @@ class _Sizes:
         raw = words(text)
         if not self._languages or not raw:
             return UNDECIDED, 0.0, 0.0
-        if len(raw) <= BLOCK_BYTES:
-            text = b"%b %b " % (FILLER, raw)
-            sizes = [len(compress(text)) - alone for compress, alone in zip(self._short, self._filler, strict=True)]
-        else:
-            blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
-            sizes = [sum(len(compress(b)) for b in blocks) for compress in self._by]
+        full = len(raw) - len(raw) % BLOCK_BYTES
+        blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, full, BLOCK_BYTES)]
+        sizes = [sum(len(compress(b)) for b in blocks) for compress in self._by]
+        if full < len(raw):
+            rest = b"%b %b " % (FILLER, raw[full:])
+            added = (len(compress(rest)) - alone for compress, alone in zip(self._short, self._filler, strict=True))
+            sizes = [size + more for size, more in zip(sizes, added, strict=True)]
         if len(sizes) == 1:
             return self._languages[0], 1.0, 1.0
         order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))

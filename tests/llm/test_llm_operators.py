@@ -382,6 +382,34 @@ def test_language_of_awkward_rows(spark, awkward, nothing):
     assert language_id.identify(nothing, none).count() == 0
 
 
+def test_signs_that_are_no_letters():
+    assert language_id.words("²½ Ⅷ ① x² aⅧb 12 _ é") == "x a b é".encode()
+    model = language_id.Model(["de", "en"], [b"der die das " * 50, b"the of and " * 50])
+    assert language_id._Sizes(model).best("²½ Ⅷ①")[0] == language_id.UNDECIDED
+
+
+@pytest.mark.parametrize("size", [1, 200, 510, 511, 512, 513, 520, 1_023, 1_024, 1_030])
+def test_no_switch_at_the_size_of_a_block(size):
+    """Texts just below, at and above whole blocks are judged alike."""
+    rng = np.random.default_rng(2)
+    words = {"xx": ["abra", "kadabra", "simsala"], "yy": ["lorem", "ipsum", "dolor"]}
+    prose = {n: " ".join(rng.choice(w, 3_000)) for n, w in words.items()}
+    model = language_id.Model(["xx", "yy"], [prose[n][:8_000].encode() for n in ("xx", "yy")])
+    sizes = language_id._Sizes(model)
+    for name, text in prose.items():
+        found, score, margin = sizes.best(text[-max(size, 9):])
+        assert found == name and score > 0.5 and margin > language_id.MARGIN
+
+
+def test_all_documents_of_the_sample_enter_the_dictionary(spark):
+    rows = [(i, f"{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}q " * 400, "xx") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df.repartition(5), sample_docs=60)
+    found = {w[:2] for w in model.contents[0].decode().split() if len(w) == 3}
+    assert len(found) == 60 and len(model.contents[0]) <= language_id.DICTIONARY_BYTES
+    assert language_id.train(df.repartition(2), sample_docs=60) == model
+
+
 def test_language_of_short_texts(spark):
     """Texts of 10 to 100 bytes, of words that only their language has, and of its letters."""
     rng = np.random.default_rng(8)
@@ -467,3 +495,18 @@ def test_near_documents_of_awkward_rows(awkward, nothing):
     assert len(got) == awkward.count()
     assert {r.doc_id: r.component_id for r in got} == wanted
     assert minhash.near_documents(nothing).count() == 0
+
+
+def test_pipeline_keeps_one_row_of_an_id_and_rows_without_one(spark):
+    import corpus_pipeline
+
+    prose = "the quick brown fox jumps over the lazy dog and runs on and on until it sleeps "
+    rows = [(1, prose, "b"), (1, prose, "a"), (2, prose, "a"), (3, "something else altogether is written here now", "a"), (3, "and a second one under the very same id", "a")]
+    rows += [(None, prose, "a"), (None, prose, "b"), (None, "no name but words", "a"), (None, None, "a"), (4, None, "a"), (5, "", "a")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text, r.source) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()), key=repr)
+    assert [(i, s) for i, t, s in kept if t == prose] == [(1, "a"), (None, "a")]
+    assert [t for i, t, _ in kept if i == 3] == ["and a second one under the very same id"]
+    assert sum(i is None for i, *_ in kept) == 3 and {t for i, t, _ in kept if i is None} == {prose, "no name but words", None}
+    assert len([i for i, t, _ in kept if i in (4, 5)]) in (1, 2)
+    assert corpus_pipeline.keep_one_of_each(spark, docs.limit(0), "").count() == 0
