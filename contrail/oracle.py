@@ -360,6 +360,58 @@ ORACLE: dict[str, str] = {
     "export_roundtrip": _sql(
         _DAILY, "select icao24, event_date_utc, pings_count, p95_velocity, p95_altitude from daily"
     ),
+    # Files, lakes and streams.
+    "json_file_scan": """
+        select case when event_type <> 'error' then event_id end as event_id,
+          case when event_type <> 'error' then user_id end as user_id,
+          case when event_type <> 'error' then event_type end as event_type,
+          case when event_type = 'error' then '{"event_id":' || event_id || ',"user_id":' || user_id
+            || ',"event_type":"error"' end as corrupt_record
+        from events""",
+    "corrupt_counts": """
+        select count(*) as rows_in, count(*) filter (event_type = 'error') as corrupt_rows from events""",
+    "csv_file_scan": "select p_partkey, p_name, p_type, p_size, p_retailprice from part",
+    "file_digests": """
+        select strftime(o_orderdate, '%Y-%m') as month,
+          md5(string_agg(o_orderkey::varchar || chr(10), '' order by o_orderkey)) as file_hash
+        from orders group by 1""",
+    "bronze_ingest": _sql(
+        ["pings"],
+        """
+        select case when _ingest_ts % 50 <> 0 then icao24 end as icao24,
+          case when _ingest_ts % 50 <> 0 then last_contact end as last_contact,
+          case when _ingest_ts % 50 <> 0 then velocity end as velocity,
+          case when day(download_date) <= 15 then 'run-1' else 'run-2' end as _ingest_id, download_date,
+          case when _ingest_ts % 50 = 0 then '{"icao24":"' || icao24 || '"'
+            || coalesce(',"time_position":' || time_position, '') || ',"last_contact":' || last_contact
+            || coalesce(',"velocity":' || velocity, '') || coalesce(',"geo_altitude":' || geo_altitude, '')
+            || ',"true_track":' || true_track end as corrupt_record
+        from pings""",
+    ),
+    "lake_fact_states": _sql(
+        _DAILY,
+        """
+        select icao24, event_date_utc, pings_count, round(coverage_pct, 6) as coverage_pct from daily""",
+    ),
+    "stream_ingest": _sql(
+        ["pings"],
+        "select icao24, last_contact, velocity, download_date from pings where _ingest_ts % 50 <> 0",
+    ),
+    "stream_upsert_late": """
+        select o_orderkey, o_orderstatus,
+          case when o_orderpriority = '1-URGENT' then 'newer' else o_orderpriority end as o_orderpriority,
+          cast(case when o_orderpriority = '1-URGENT' then 3 else 2 end as int) as version
+        from orders""",
+    "observed_metrics": _sql(
+        _STATES,
+        """
+        select 'silver.states' as dataset, 'run-1' as ingest_id, (select count(*) from clean_states) as rows_in,
+          count(*) as rows_out,
+          round(((select count(*) from clean_states) - count(*)) / (select count(*) from clean_states)::double, 6)
+            as dup_ratio,
+          'ok' as status, count(*) filter (velocity_mps is null) as null_velocities
+        from states""",
+    ),
     # Projections, filters, predicates.
     "select_allowlist": "select o_orderkey, o_orderstatus, o_custkey from orders",
     "path_timestamps": _sql(

@@ -984,3 +984,7 @@ def kpi_sliced(spark, sf_dir):
         airlines=["Household Express", "Building Air"],
     )
     return rounded(measures.top_routes(part, 50), "avg_block_min")
+
+
+# Queries over files, lakes and streams register themselves; they need ``query`` from above.
+from contrail import lake_queries  # noqa: E402, F401
