@@ -218,6 +218,27 @@ def test_failed_matches_of_other_kinds_block_nothing():
         assert not any(k == "card" for k, *_ in pii.personal_spans(net, [f"paid by {value} in the shop today"])[0])
 
 
+def test_harmless_numbers_are_left_alone(monkeypatch):
+    """Dates, ranges of years and book numbers never become phones, whatever the network says."""
+    harmless = [
+        "2024-03-15", "15.03.2024", "3/15/1998", "1998-2009", "1998 - 2009", "978-3-16-148410-0", "9783161484100",
+        "2024-03-15 12:30", "15.03.24",
+    ]
+    for value in harmless:
+        text = f"seen {value} there"
+        assert pii._edges("phone", text, 5, 5 + len(value)) is None
+    for value in ("020 7946 0958", "1-555-123-4567", "(212) 555-1234", "978-3-16-148410-1"):
+        assert pii._edges("phone", f"seen {value} there", 5, 5 + len(value))
+
+
+def test_harmless_forms_hold_no_base_span():
+    for k, stretch in enumerate(with_cards()):
+        spans = [(kind, a, b) for kind, a, b, ok in pii._settled(pii.base_matches(stretch)) if ok]
+        text, places = pii._harmless(stretch, spans, k % 5)
+        assert len(places) == len(spans) and (not spans or text != stretch)
+        assert not any(ok for _, _, _, ok in pii.base_matches(text))
+
+
 def test_what_blocks_an_added_span(monkeypatch):
     text = "a 4111.1111.1111.1111 b 10.0.0.255 c 4111 1111 1111 1112 d +1 23 e"
     at = lambda value: (text.index(value), text.index(value) + len(value))
@@ -243,7 +264,7 @@ def test_rare_kinds_are_learned(spark, monkeypatch):
     assert {pii.KINDS[(t - 1) // 2] for t in set(tags.ravel()) - {0}} == {"email", "ip", "phone"}
     assert (windows == again[0]).all() and (tags == again[1]).all()
     # Ten stretches of each kind in four forms, and twenty without a span in one.
-    assert len(windows) <= (30 * (1 + pii.FORMS) + 20) * 5
+    assert len(windows) <= (30 * (1 + pii.FORMS + pii.HARMLESS) + 20) * 5
 
 
 def test_windows_agree_over_a_long_text(network):
