@@ -13,6 +13,7 @@ from contrail.operators.enrich import Dimension, join_dimension
 from contrail.operators.quality import freshness_lag as _freshness
 from contrail.operators.quantiles import exact_quantiles
 from contrail.operators.topk import top_n
+from contrail.session import stage
 
 ROLES = ("dep", "arr")
 
@@ -204,25 +205,27 @@ def turnaround(flights: DataFrame) -> DataFrame:
     """KPI-15, WIN-01: seconds from an arrival to the next departure of the same
     aircraft; NULL for its last flight.
 
-    A lead over all flights of an aircraft would put a busy one in a single task.
-    The lead is taken per aircraft and departure day.  The last flight of a day is
-    left open by it; these rows, one per aircraft and day, continue with the first
-    departure of the aircraft's next flying day.  Both parts read one shuffle."""
-    rows = flights.select("flight_id", "icao24", "first_seen_ts", "last_seen_ts").withColumn(
-        "day", F.to_date("first_seen_ts")
-    )
-    in_day = Window.partitionBy("icao24", "day").orderBy("first_seen_ts", "last_seen_ts", "flight_id")
-    linked = rows.withColumns(
+    A lead over all flights of an aircraft would put a busy one in a single task.  The
+    flights are dealt into ranges of (aircraft, time) of about equal size and stored with the
+    number of their range, so one aircraft may fill many.  The lead is taken per aircraft and
+    range.  The last flight there is left open by it; these rows, at most one per range and
+    aircraft, continue with the first departure of the aircraft's next range."""
+    order = ["first_seen_ts", "last_seen_ts", "flight_id"]
+    rows = flights.select("flight_id", "icao24", "first_seen_ts", "last_seen_ts")
+    dealt = rows.repartitionByRange("icao24", *order).withColumn("_range", F.spark_partition_id())
+    # Stored, so that a range computed again is the same one.
+    ranged, _ = stage(dealt, "turnaround-ranges")
+    in_range = Window.partitionBy("icao24", "_range").orderBy(*order)
+    linked = ranged.withColumns(
         {
-            "following": F.lead("first_seen_ts").over(in_day),
-            "opens": F.first("first_seen_ts").over(in_day),
+            "following": F.lead("first_seen_ts").over(in_range),
+            "opens": F.first("first_seen_ts").over(in_range),
+            "closes": F.lead(F.lit(False), 1, True).over(in_range),
         }
     )
-    across_days = Window.partitionBy("icao24").orderBy("day")
-    inside = linked.where(F.col("following").isNotNull())
-    closing = linked.where(F.col("following").isNull()).withColumn(
-        "following", F.lead("opens").over(across_days)
-    )
+    across = Window.partitionBy("icao24").orderBy("_range")
+    inside = linked.where(~F.col("closes"))
+    closing = linked.where("closes").withColumn("following", F.lead("opens").over(across))
     return inside.unionByName(closing).select(
         "flight_id",
         "icao24",

@@ -249,6 +249,21 @@ def test_turnaround_equals_a_plain_lead(spark, data):
     assert got == expected
 
 
+def test_one_busy_aircraft_fills_all_ranges(spark, monkeypatch):
+    data = [("a", 60 * i, 60 * i + 30) for i in range(4_000)] + [("b", 5, 9)]
+    df = flights_frame(spark, data).repartition(5)
+    kept = []
+    monkeypatch.setattr(measures, "stage", lambda frame, label: kept.append(stage(frame, label)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["flight_id"]: r["turnaround_s"] for r in measures.turnaround(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {str(i): 30 if i < 3_999 else None for i in range(4_001)}
+    sizes = [r["count"] for r in kept[0][0].groupBy("icao24", "_range").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 2_000
+
+
 def test_reference_golden_counts(spark):
     """49 airports with three repeated codes give 46, five without IATA."""
     codes = [f"LE{i:02d}" for i in range(46)]
