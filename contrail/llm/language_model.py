@@ -12,6 +12,8 @@ no key travels back and no task holds the counts of the corpus."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,12 +22,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from contrail.llm.common import prepare, slots, whole_text
+from contrail.llm.common import parts, prepare, slots, whole_text
 from contrail.llm.language_id import fold
 from contrail.session import stage
 
 #: Text of a batch, and keys of a range: what a task holds.
 BATCH_BYTES, RANGE_KEYS = 4 << 20, 3_000_000
+#: Text whose words are Python objects at a time, and keys of a range that are sorted at once.
+WORDS_BYTES, SLICE_KEYS = 1 << 18, 1 << 18
 #: Of the ten folds by checksum: never learned from; estimates made without it at first.
 TEST_FOLD, WEIGHT_FOLD, FOLDS = 0, 1, 10
 ROUNDS = 10
@@ -59,28 +63,51 @@ def _short(counts: np.ndarray) -> bytes:
     return counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _long(data: bytes) -> np.ndarray:
+def _long(data: bytes, kind: str = "<i8") -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(kind)
+
+
+def _slices(keys: list[np.ndarray]) -> Iterator[list[slice]]:
+    """Equal ranges of sorted blocks of hashes, each as the places of its keys in every block."""
+    count = math.ceil(sum(map(len, keys)) / SLICE_KEYS)
+    low, high = min(int(k[0]) for k in keys), max(int(k[-1]) for k in keys)
+    step = (high - low) // count + 1
+    edges = np.array([low + step * s for s in range(1, count)], np.uint64)
+    cuts = [[0, *np.searchsorted(k, edges).tolist(), len(k)] for k in keys]
+    for s in range(count):
+        yield [slice(c[s], c[s + 1]) for c in cuts]
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of some texts, end to end, and how many words each has."""
+    words = [t.lower().split() for t in texts]  # bytes: only A-Z change, only ASCII blanks split
+    codes, distinct = pd.factorize(np.fromiter(chain.from_iterable(words), object, sum(map(len, words))))
+    if not len(distinct):
+        return np.zeros(0, np.uint64), np.zeros(len(words), np.int64)
+    hashed = pd.util.hash_array(np.array([w.decode() for w in distinct], object), categorize=False)
+    return hashed[codes], np.fromiter(map(len, words), np.int64, len(words))
 
 
 class Tokens:
     """Words and bigrams of documents, ends included: distinct keys and the key of each token."""
 
     def __init__(self, texts: list[bytes]):
-        words = [t.lower().split() for t in texts]  # bytes: only A-Z change, only ASCII blanks split
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        hashed, counts = [np.array([_END], np.uint64)], []
+        # Python's words are many times the text: they live for one part only.
+        for begin, end in parts(map(len, texts), WORDS_BYTES):
+            own, lengths = _word_hashes(texts[begin:end])
+            hashed.append(own)
+            counts.append(lengths)
+        self.lengths = np.concatenate(counts) + 1 if counts else np.zeros(0, np.int64)
         self.ends = np.cumsum(self.lengths)
-        codes, distinct = pd.factorize(pd.Series([w for own in words for w in own], dtype=object))
-        hashed = np.empty(len(distinct) + 1, np.uint64)
-        hashed[0] = _END
-        if len(distinct):
-            hashed[1:] = pd.util.hash_array(np.array([w.decode() for w in distinct], object), categorize=False)
-        self.words, place = np.unique(hashed, return_inverse=True)
+        codes, distinct = pd.factorize(np.concatenate(hashed))
+        del hashed
+        self.words, place = np.unique(distinct, return_inverse=True)
         last = np.zeros(int(self.lengths.sum()), bool)
         last[self.ends - 1] = True
         self.word = np.empty(len(last), np.int64)
-        self.word[last], self.word[~last] = place[0], place[codes + 1]
+        self.word[last], self.word[~last] = place[0], place[codes[1:]]
         # The start of a text is a context as often as the end is a word: they share a key.
         self.context = np.roll(self.word, 1)
         self.context[self.ends - self.lengths] = place[0]
@@ -159,18 +186,25 @@ def _requests(batches: DataFrame, ranges: int) -> DataFrame:
 def _answers(requests: DataFrame) -> DataFrame:
     """The counts of the corpus for each block, in its order, and sums over a range's words."""
 
-    def run(table: pa.Table) -> pa.Table:
-        blocks = table
-        keys = [unsqueeze(k) for k in blocks.column("keys").to_pylist()]
-        ends = np.cumsum([len(k) for k in keys])
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = []
-        for name in ("main", "held"):
-            own = np.concatenate([_long(c) for c in blocks.column(name).to_pylist()])
-            totals.append(np.bincount(at, weights=own, minlength=len(distinct)).astype(np.int64))
-        answers = [[_short(p) for p in np.split(t[at], ends[:-1])] for t in totals]
+    def run(blocks: pa.Table) -> pa.Table:
+        keys = [unsqueeze(k.as_buffer()) for k in blocks.column("keys")]
+        counts = [[_long(c.as_buffer(), "<u4") for c in blocks.column(name)] for name in ("main", "held")]
+        sums = [0, 0, 0]
+        for places in _slices(keys):
+            own = [k[place] for k, place in zip(keys, places, strict=True)]
+            ends = np.cumsum([len(k) for k in own])[:-1]
+            distinct, at = np.unique(np.concatenate(own), return_inverse=True)
+            totals = []
+            for kept in counts:
+                here = np.concatenate([c[place] for c, place in zip(kept, places, strict=True)])
+                totals.append(np.bincount(at, weights=here, minlength=len(distinct)).astype(np.int64))
+                # The counts of a slice are read once: the answers take their place.
+                for c, place, answer in zip(kept, places, np.split(totals[-1][at], ends), strict=True):
+                    c[place] = answer
+            found = [int((totals[0] + totals[1] > 0).sum()), int(totals[0].sum()), int(totals[1].sum())]
+            sums = [a + b for a, b in zip(sums, found, strict=True)]
+        answers = [[_short(c) for c in kept] for kept in counts]
         zero = np.zeros(blocks.num_rows, np.int64)
-        sums = [int((totals[0] + totals[1] > 0).sum()), int(totals[0].sum()), int(totals[1].sum())]
         if blocks.column("kind")[0].as_py() != _WORD:
             sums = [0, 0, 0]
         figures = [pa.array(np.concatenate([[s], zero[1:]])) for s in sums]

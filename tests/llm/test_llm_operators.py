@@ -531,3 +531,26 @@ def test_pipeline_keeps_one_row_of_an_id_and_rows_without_one(spark):
     assert sum(i is None for i, *_ in kept) == 3 and {t for i, t, _ in kept if i is None} == {prose, "no name but words", None}
     assert len([i for i, t, _ in kept if i in (4, 5)]) in (1, 2)
     assert corpus_pipeline.keep_one_of_each(spark, docs.limit(0), "").count() == 0
+
+
+def test_counts_of_a_range_are_added_slice_by_slice(spark, monkeypatch):
+    """op6: the same answers however few keys are sorted at once, and words read in parts."""
+    import numpy as np
+
+    from contrail.llm import language_model as lm
+
+    rng = np.random.default_rng(5)
+    keys = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 300, 700)]
+    keys.append(np.unique(np.concatenate([keys[1][:50], keys[2][100:]])))
+    keys.append(np.array([(1 << 64) - 1], np.uint64))
+    monkeypatch.setattr(lm, "SLICE_KEYS", 64)
+    seen = [[k[p] for k, p in zip(keys, places)] for places in lm._slices(keys)]
+    assert len(seen) > 10 and all((np.concatenate([s[i] for s in seen]) == keys[i]).all() for i in range(len(keys)))
+    ranges = [np.concatenate(s) for s in seen if sum(map(len, s))]
+    assert all(a.max() < b.min() for a, b in zip(ranges, ranges[1:]))
+    texts = [b"", b"One two ONE", "\u00e9t\u00e9 two".encode(), b" ", b"three " * 40]
+    whole = lm.Tokens(texts)
+    monkeypatch.setattr(lm, "WORDS_BYTES", 4)
+    parts = lm.Tokens(texts)
+    for name in ("lengths", "words", "word", "context", "pairs", "pair"):
+        assert (getattr(whole, name) == getattr(parts, name)).all()
