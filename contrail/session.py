@@ -17,6 +17,12 @@ DEFAULTS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
+#: What a task gets at most of a shuffle and of a scan, compressed.
+TASK_BYTES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+
 
 def spark_session(
     app_name: str, master: str | None = None, options: dict[str, str] | None = None
@@ -34,6 +40,15 @@ def spark_session(
 def pin_utc(spark: SparkSession) -> SparkSession:
     """All ``*_utc`` columns are UTC whatever zone the host or the JVM runs in."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return bound_tasks(spark)
+
+
+def bound_tasks(spark: SparkSession) -> SparkSession:
+    """Narrow rows take many times their stored bytes in a sort, so tasks are given fewer bytes
+    than Spark's defaults; a session that names its own sizes keeps them."""
+    for key, size in TASK_BYTES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, size)
     return spark
 
 
@@ -67,6 +82,13 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``stage`` with a denser codec, for rows of ids that no dictionary helps."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
