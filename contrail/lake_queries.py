@@ -148,11 +148,10 @@ def stream_upsert_late(spark, sf_dir):
         ),
     )
     for batch in triggers:
-        tables.append(batch.coalesce(1), source)
+        tables.append(batch, source)
         stream_upsert(
-            spark, source, target, lambda frame: frame, ["o_orderkey"], ["o_orderstatus"], ["version"], checkpoint,
-            max_files=1,
-        ).awaitTermination()
+            spark, source, target, lambda frame: frame, ["o_orderkey"], ["o_orderstatus"], ["version"], checkpoint
+        ).awaitTermination()
     return tables.read(spark, target).select("o_orderkey", "o_orderstatus", "o_orderpriority", "version")
 
 

@@ -193,7 +193,8 @@ def upsert_table(
     spark = source.sparkSession
     scratch = []
     if not staged:
-        source, source_path = stage(source, "source")
+        # Many files: one large file without row groups would be one task of every pass over it.
+        source, source_path = stage(source.hint("rebalance", *keys), "source")
         scratch.append(source_path)
     try:
         return _upsert_stored(
