@@ -43,11 +43,16 @@ def lane_sums(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     halves, per chunk of so few rows that no sum runs over; only the sums of chunks are decimals."""
     chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("_chunk")
     hashed = df.select(*by, row_hash(columns).alias("_h"), chunk)
+    # A lane is read once, as a number of 60 bits, and cut in two by its bits.
+    numbers = [
+        F.conv(F.substring("_h", 1 + k * LANE_DIGITS, LANE_DIGITS), 16, 10).cast("bigint").alias(f"_lane_{k}")
+        for k in range(LANES)
+    ]
+    hashed = hashed.select(*by, "_chunk", *numbers)
     halves = {}
     for k in range(LANES):
-        first, upper = 1 + k * LANE_DIGITS, LANE_DIGITS - LOW_DIGITS
-        for name, begin, digits in ((f"_high_{k}", first, upper), (f"_low_{k}", first + upper, LOW_DIGITS)):
-            halves[name] = F.sum(F.conv(F.substring("_h", begin, digits), 16, 10).cast("bigint"))
+        halves[f"_high_{k}"] = F.sum(F.shiftright(f"_lane_{k}", 4 * LOW_DIGITS))
+        halves[f"_low_{k}"] = F.sum(F.col(f"_lane_{k}").bitwiseAND(F.lit(16**LOW_DIGITS - 1)))
     chunks = hashed.groupBy(*by, "_chunk").agg(
         F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in halves.items()]
     )
