@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from contrail.operators.enrich import Dimension, join_dimension
 from contrail.operators.quality import freshness_lag as _freshness
 from contrail.operators.quantiles import exact_quantiles
+from contrail.operators.skew import hot_hashes, key_hash
 from contrail.operators.topk import top_n
-from contrail.session import stage
+from contrail.session import stage, stored
 
 ROLES = ("dep", "arr")
+FLIGHT_ORDER = ("first_seen_ts", "last_seen_ts", "flight_id")
 
 
 def _role(role: str) -> str:
@@ -201,21 +203,49 @@ def freshness_lag(df: DataFrame, ts: str, as_of) -> DataFrame:
     return df.agg(_freshness(ts, as_of).alias("freshness_lag_minutes"))
 
 
-def turnaround(flights: DataFrame) -> DataFrame:
+def turnaround(flights: DataFrame, hot: Sequence[int] | None = None, hex_ids: bool = False) -> DataFrame:
     """KPI-15, WIN-01: seconds from an arrival to the next departure of the same
     aircraft; NULL for its last flight.
 
+    Flights of ordinary aircraft take one shuffle to a lead per aircraft; those of an aircraft
+    that would make a task uneven are dealt into ranges of time (``_lead_in_ranges``).  ``hot``
+    carries an earlier measurement of the hashes of such aircraft, say of the rows that the
+    flights come from; without one the flights are stored and measured.  ``hex_ids`` says that
+    all ids are lower-case hexadecimal of whole bytes, as ``text.slot_key`` makes them: they
+    travel as bytes, which sort alike and take half the room."""
+    rows = flights.select("flight_id", "icao24", "first_seen_ts", "last_seen_ts")
+    if hex_ids:
+        rows = rows.withColumn("flight_id", F.unhex("flight_id"))
+    if hot is None or len(hot):
+        # What the rows come from would be computed again by every pass.
+        rows = stored(rows, "turnaround-rows")
+    hot = hot_hashes(rows, ["icao24"]) if hot is None else list(hot)
+    is_hot = key_hash(["icao24"]).isin(hot)
+    per_aircraft = Window.partitionBy("icao24").orderBy(*FLIGHT_ORDER)
+    linked = (rows.where(~is_hot) if hot else rows).withColumn("following", F.lead("first_seen_ts").over(per_aircraft))
+    if hot:
+        linked = linked.unionByName(_lead_in_ranges(rows.where(is_hot)))
+    return linked.select(
+        (F.lower(F.hex("flight_id")) if hex_ids else F.col("flight_id")).alias("flight_id"),
+        "icao24",
+        "last_seen_ts",
+        F.col("following").alias("next_departure_ts"),
+        (F.unix_timestamp("following") - F.unix_timestamp("last_seen_ts")).alias("turnaround_s"),
+    )
+
+
+def _lead_in_ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` with the next departure of the same aircraft as ``following``.
+
     A lead over all flights of an aircraft would put a busy one in a single task.  The
     flights are dealt into ranges of (aircraft, time) of about equal size and stored with the
     number of their range, so one aircraft may fill many.  The lead is taken per aircraft and
     range.  The last flight there is left open by it; these rows, at most one per range and
     aircraft, continue with the first departure of the aircraft's next range."""
-    order = ["first_seen_ts", "last_seen_ts", "flight_id"]
-    rows = flights.select("flight_id", "icao24", "first_seen_ts", "last_seen_ts")
-    dealt = rows.repartitionByRange("icao24", *order).withColumn("_range", F.spark_partition_id())
+    dealt = rows.repartitionByRange("icao24", *FLIGHT_ORDER).withColumn("_range", F.spark_partition_id())
     # Stored, so that a range computed again is the same one.
     ranged, _ = stage(dealt, "turnaround-ranges")
-    in_range = Window.partitionBy("icao24", "_range").orderBy(*order)
+    in_range = Window.partitionBy("icao24", "_range").orderBy(*FLIGHT_ORDER)
     linked = ranged.withColumns(
         {
             "following": F.lead("first_seen_ts").over(in_range),
@@ -226,13 +256,7 @@ def turnaround(flights: DataFrame) -> DataFrame:
     across = Window.partitionBy("icao24").orderBy("_range")
     inside = linked.where(~F.col("closes"))
     closing = linked.where("closes").withColumn("following", F.lead("opens").over(across))
-    return inside.unionByName(closing).select(
-        "flight_id",
-        "icao24",
-        "last_seen_ts",
-        F.col("following").alias("next_departure_ts"),
-        (F.unix_timestamp("following") - F.unix_timestamp("last_seen_ts")).alias("turnaround_s"),
-    )
+    return inside.unionByName(closing).select(*rows.columns, "following")
 
 
 def coverage_by_day(states: DataFrame) -> DataFrame:

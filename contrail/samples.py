@@ -51,6 +51,15 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _aircraft() -> Column:
+    return F.concat(F.lit("p"), _text("l_partkey")).alias("icao24")
+
+
+def aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aircraft of every order line, one row each."""
+    return table(spark, sf_dir, "lineitem").select(_aircraft())
+
+
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flights, one per order line.
 
@@ -75,7 +84,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         "l_orderkey",
         "l_linenumber",
-        F.concat(F.lit("p"), _text("l_partkey")).alias("icao24"),
+        _aircraft(),
         F.when(line == 7, F.lit("  "))
         .when(line == 6, _text("l_orderkey"))
         .otherwise(
