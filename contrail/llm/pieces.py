@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -39,18 +39,34 @@ class ChunkStore:
         self._used = used
         self._letters += sum(map(len, chunks))
 
-    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and where each text ends.  A text is its chunks."""
+    def _trim(self) -> None:
         if len(self._index) > KEEP_CHUNKS or self._used > KEEP_IDS or self._letters > 8 * KEEP_IDS:
             self._clear()
+
+    def _ids(self, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = self._starts[at]
+        count = self._starts[at + 1] - begin
+        total = np.concatenate([[0], np.cumsum(count)])
+        ids = self._flat[np.repeat(begin - total[:-1], count) + np.arange(total[-1])]
+        return ids, total[np.cumsum(lengths)]
+
+    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text ends.  A text is its chunks."""
+        self._trim()
         known = self._index
         new = set(chain.from_iterable(texts)).difference(known)
         if new:
             self._add(list(new))
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
-        begin = self._starts[at]
-        count = self._starts[at + 1] - begin
-        total = np.concatenate([[0], np.cumsum(count)])
-        ids = self._flat[np.repeat(begin - total[:-1], count) + np.arange(total[-1])]
-        return ids, total[np.cumsum(lengths)]
+        return self._ids(at, lengths)
+
+    def encode_distinct(self, chunks: list[str], at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts given as places in distinct chunks, end to end, and the number of each text."""
+        self._trim()
+        place = np.fromiter(map(self._index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self._index) + np.arange(len(new))
+            self._add([chunks[i] for i in new.tolist()])
+        return self._ids(place[at], lengths)

@@ -1,6 +1,7 @@
 """Encoders against their libraries, and what they do with awkward rows."""
 
 import itertools
+import json
 import zlib
 
 import brute
@@ -10,6 +11,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
 from sentencepiece import sentencepiece_model_pb2 as proto
+from tokenizers import Tokenizer
 
 from contrail.llm import packing, sentencepiece_codec, token_counts
 from contrail.llm.word_codec import _RANGES, WordCodec
@@ -126,6 +128,47 @@ def test_words_one_by_one(text):
     assert codec.encode([text])[0].tolist() == library(text)
 
 
+def test_contractions_anywhere(word_codec):
+    texts = ["".join(x) for x in itertools.product("'rvle !1", repeat=4)]
+    texts += ["".join(x) for x in itertools.product(["'", "'d", "'m", "'ll", "m", "t", "\x1c", "\x85", "é"], repeat=3)]
+    for text, ids in zip(texts, word_codec.encode(texts), strict=True):
+        assert ids.tolist() == library(text), text
+
+
+class Counted(dict):
+    """A dictionary that counts what it is asked for."""
+
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_a_word_is_looked_up_once_a_call(monkeypatch):
+    with open(WORDS, encoding="utf-8") as file:
+        codec = WordCodec(file.read())
+    codec.encode(["one two three"])
+    index = Counted(codec._store._index)
+    monkeypatch.setattr(codec._store, "_index", index)
+    texts = ["One two, three. " * 200, "", "three two one four " * 300]
+    assert [ids.tolist() for ids in codec.encode(texts)] == [library(t) for t in texts]
+    assert 0 < index.asked <= 6  # distinct words and signs
+
+
+def test_added_tokens_of_other_forms():
+    with open(WORDS, encoding="utf-8") as file:
+        spec = json.loads(file.read())
+    spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 49_408, "content": "two", "special": False})
+    codec = WordCodec(json.dumps(spec))
+    wanted = Tokenizer.from_str(json.dumps(spec)).encode("one two three", add_special_tokens=False).ids
+    assert wanted != library("one two three") and codec.encode(["one two three"])[0].tolist() == wanted
+
+
 def test_store_starts_anew(word_codec, monkeypatch):
     monkeypatch.setattr("contrail.llm.pieces.KEEP_CHUNKS", 1)
     for text in ("one two", "two three", "one two three four"):
